@@ -327,22 +327,25 @@ def keyword_sentiment(spark, sf):
     return reviews(spark, sf).select("review_id", L.keyword_sentiment(F.col("text")).alias("pred_label"))
 
 
-def _load_keyword_scorer():
-    def has(text, words):
-        return any(w in text for w in words)
+def _keyword_scorer_loader():
+    """A loader without references to this module, so that tasks need not have it installed."""
+    complaints, softenings, praises = COMPLAINT_WORDS, SOFTENING_WORDS, PRAISE_WORDS
 
-    def label(text):
-        if has(text, COMPLAINT_WORDS):
-            return "Neutral" if has(text, SOFTENING_WORDS) else "Negative"
-        return "Positive" if has(text, PRAISE_WORDS) else "Neutral"
+    def load():
+        def label(text):
+            if any(w in text for w in complaints):
+                return "Neutral" if any(w in text for w in softenings) else "Negative"
+            return "Positive" if any(w in text for w in praises) else "Neutral"
 
-    return lambda texts: [label(t) for t in texts]
+        return lambda texts: [label(t) for t in texts]
+
+    return load
 
 
 @query
 def score_batches_table(spark, sf):
     rows = reviews(spark, sf).select("review_id", "text")
-    return score_batches(rows, "text", "pred_label", _load_keyword_scorer).select("review_id", "pred_label")
+    return score_batches(rows, "text", "pred_label", _keyword_scorer_loader()).select("review_id", "pred_label")
 
 
 # Evaluation
