@@ -53,18 +53,18 @@ def word_hits(words: Column, lexicon: AspectLexicon) -> Column:
     forms = lexicon.forms
     to_word = literal_map(forms)
     to_category = literal_map({form: lexicon.words[word] for form, word in forms.items()})
-    numbered = F.transform(
-        words, lambda t, i: F.struct(t.alias("text"), F.lower(t).alias("form"), i.alias("index"))
-    )
-    return F.transform(
-        F.filter(numbered, lambda t: t["form"].isin(list(forms))),
-        lambda t: F.struct(
-            F.try_element_at(to_category, t["form"]).alias("category"),
-            t["text"].alias("text"),
-            F.try_element_at(to_word, t["form"]).alias("lemma"),
-            t["index"].alias("index"),
-        ),
-    )
+
+    def hit(word: Column, index: Column) -> Column:
+        form = F.lower(word)
+        found = F.struct(
+            F.try_element_at(to_category, form).alias("category"),
+            word.alias("text"),
+            F.try_element_at(to_word, form).alias("lemma"),
+            index.alias("index"),
+        )
+        return F.when(form.isin(list(forms)), found)
+
+    return F.array_compact(F.transform(words, hit))
 
 
 def phrase_hits(text: Column, lexicon: AspectLexicon) -> Column:
@@ -91,11 +91,11 @@ def aspect_hits(text: Column, lexicon: AspectLexicon) -> Column:
     return F.concat(word_hits(tokens(text), lexicon), phrase_hits(text, lexicon))
 
 
-def hit_categories(text: Column, words: Column, lexicon: AspectLexicon) -> Column:
+def hit_categories(text: Column, lowered_words: Column, lexicon: AspectLexicon) -> Column:
     """The category of every hit; all that counting needs."""
     forms = lexicon.forms
     to_category = literal_map({form: lexicon.words[word] for form, word in forms.items()})
-    hits = F.filter(F.transform(words, F.lower), lambda t: t.isin(list(forms)))
+    hits = F.filter(lowered_words, lambda t: t.isin(list(forms)))
     in_words = F.transform(hits, lambda t: F.try_element_at(to_category, t))
     in_text = [F.when(F.lower(text).contains(term), F.lit(category)) for category, term in lexicon.phrases]
     return F.concat(in_words, F.array_compact(F.array(*in_text)))

@@ -20,13 +20,20 @@ def literal_map(pairs: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
 
 
-def collapse_whitespace(text: Column) -> Column:
-    """Runs of white space become one blank; none at the ends.
+def _is_ascii(text: Column) -> Column:
+    """One byte per character; far cheaper to find out than a pass of a regex."""
+    return F.octet_length(text) == F.length(text)
 
-    Two passes that leave single blanks alone, as replacing every blank by itself costs more.
-    """
-    blanks = F.regexp_replace(text, P.WS_NOT_BLANK + "+", " ")
-    return F.btrim(F.regexp_replace(blanks, "  +", " "))
+
+def _unless_ascii(text: Column, changed: Column) -> Column:
+    return F.when(_is_ascii(text), text).otherwise(changed)
+
+
+def collapse_whitespace(text: Column) -> Column:
+    """Runs of white space become one blank; none at the ends."""
+    latin = F.regexp_replace(text, P.LATIN_SPACE_RUN, " ")
+    blanks = _unless_ascii(latin, F.regexp_replace(latin, P.WIDE_SPACE, " "))
+    return F.btrim(F.regexp_replace(blanks, P.BLANK_RUN, " "))
 
 
 def split_words(text: Column) -> Column:
@@ -132,7 +139,8 @@ def squeeze_repeats(text: Column) -> Column:
 
 def strip_specials(text: Column) -> Column:
     """Delete everything but letters, digits, underscore and white space."""
-    return F.regexp_replace(text, P.NOT_WORD_OR_WS + "+", "")
+    bare = F.regexp_replace(text, P.ASCII_SPECIAL_RUN, "")
+    return _unless_ascii(bare, F.regexp_replace(bare, P.OTHER_SPECIAL, ""))
 
 
 def normalize_light(text: Column) -> Column:
@@ -169,6 +177,17 @@ def content_tokens(text: Column, lemmas: dict[str, str], stop_words: list[str])
 
 
 def tokens(text: Column) -> Column:
-    """Words without non-word characters at their ends; empty ones are dropped."""
-    words = split_words(F.regexp_replace(text, P.TOKEN_EDGES, ""))
-    return F.filter(words, lambda w: w != "")
+    """Words without non-word characters at their ends; empty ones are dropped.
+
+    An ASCII text is trimmed as a whole; only in others every word is looked at.
+    """
+
+    def bare(word: Column) -> Column:
+        ascii_bare = F.regexp_replace(word, P.ASCII_EDGES, "")
+        return F.when(_is_ascii(word), ascii_bare).otherwise(F.regexp_replace(word, P.ANY_EDGES, ""))
+
+    collapsed = collapse_whitespace(text)
+    before = F.regexp_replace(F.concat(F.lit(" "), collapsed), P.ASCII_BEFORE_WORD, " ")
+    whole = F.split(F.regexp_replace(before, P.ASCII_BEHIND_WORD, ""), " ")
+    each = F.transform(F.split(collapsed, " "), bare)
+    return F.filter(F.when(_is_ascii(text), whole).otherwise(each), lambda w: w != "")

@@ -16,15 +16,16 @@ def count_columns(lexicon: A.AspectLexicon = LEXICON) -> list[str]:
 
 
 def with_aspect_counts(
-    df: DataFrame, text: str, words: Column | None = None, lexicon: A.AspectLexicon = LEXICON
+    df: DataFrame, text: str, lowered_words: Column | None = None, lexicon: A.AspectLexicon = LEXICON
 ) -> DataFrame:
     """Add one count column per category. No shuffle; every token is looked up once.
 
-    ``words`` are the tokens of the text where the caller has them already.
+    ``lowered_words`` are the tokens in lower case where the caller has them already.
     """
-    words = tokens(F.coalesce(F.col(text), F.lit(""))) if words is None else words
+    whole = F.coalesce(F.col(text), F.lit(""))
+    words = tokens(F.lower(whole)) if lowered_words is None else lowered_words
     # The hits are a projection of their own, so the counts read them and do not repeat them.
-    found = df.withColumn("_hits", A.hit_categories(F.coalesce(F.col(text), F.lit("")), words, lexicon))
+    found = df.withColumn("_hits", A.hit_categories(whole, words, lexicon))
     counts = {f"aspect_{c}": A.count_category(F.col("_hits"), c) for c in lexicon.categories}
     return found.withColumns(counts).drop("_hits")
 
