@@ -179,7 +179,8 @@ def aspect_nested(spark, sf):
     """The nested map, read out again as one row per review and category."""
     nested = A.with_nested_aspects(reviews(spark, sf).select("review_id", "text"), "text")
     match = lambda m: F.concat(m["text"], F.lit("/"), m["lemma"], F.lit("@"), m["index"].cast("string"))
-    entries = nested.select("review_id", F.explode("aspects").alias("category", "aspect"))
+    # explode would add a filter on the map's size below, and compute the map a second time.
+    entries = nested.select("review_id", F.explode_outer("aspects").alias("category", "aspect"))
     return entries.select(
         "review_id",
         "category",

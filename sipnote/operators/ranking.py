@@ -3,15 +3,22 @@
 All of them ask for "the q smallest rows by some order". A sort or a window would bring a whole
 stratum (a label holds a third of the rows or more) to one task. Instead the order is cut into
 65,536 buckets, a histogram says in which bucket the q-th row lies, only that bucket is ranked,
-and the row found there is a threshold every row can be compared with where it is.
+and the row found there is a threshold. The thresholds, one row per stratum, become constants
+of a row-wise condition: the table itself is never shuffled, and a threshold on a plain column
+is pushed down to the scan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 65_536
+# Strata are classes; their counts and thresholds are collected, so there may not be many.
+MAX_STRATA = 1_000
 
 
 def seeded_hash(seed: int, key: str) -> Column:
@@ -23,61 +30,74 @@ def _hash_bucket(hashed: Column) -> Column:
     return F.conv(F.left(hashed, F.lit(4)), 16, 10).cast("int")
 
 
-def _thresholds(keys: DataFrame, quotas: DataFrame, order: list[str]) -> DataFrame:
-    """Per stratum the last row that still belongs to the quota.
+def _hash_keys(df: DataFrame, key: str, seed: int, stratum: Column) -> DataFrame:
+    hashed = seeded_hash(seed, key)
+    return df.select(
+        stratum.alias("stratum"), _hash_bucket(hashed).alias("bucket"), hashed.alias("hash"), F.col(key).alias("key")
+    )
+
+
+def _thresholds(keys: DataFrame, quotas: dict, order: list[str]) -> dict[object, Row]:
+    """Per stratum the last row that still belongs to its quota.
 
-    ``keys`` has stratum, bucket and the order columns; ``quotas`` has stratum and quota, one
-    row per stratum. A stratum whose quota is 0 or exceeds its rows has no threshold row.
+    ``keys`` has stratum, bucket and the order columns. A stratum with a quota of 0, or with
+    fewer rows than its quota, has no threshold.
     """
+    quota = reduce(
+        lambda rest, item: F.when(F.col("stratum").eqNullSafe(F.lit(item[0])), item[1]).otherwise(rest),
+        quotas.items(),
+        F.lit(0),
+    )
     running = Window.partitionBy("stratum").orderBy("bucket")
-    histogram = keys.groupBy("stratum", "bucket").count()
     edge = (
-        histogram.withColumn("upto", F.sum("count").over(running))
-        .join(F.broadcast(quotas), "stratum")
-        .withColumn("wanted", F.col("quota") - F.col("upto") + F.col("count"))
+        keys.groupBy("stratum", "bucket")
+        .count()
+        .withColumn("upto", F.sum("count").over(running))
+        .withColumn("wanted", quota - F.col("upto") + F.col("count"))
         .where(F.col("wanted").between(1, F.col("count")))
-        .select("stratum", "bucket", "wanted")
+        .select(F.col("stratum").alias("s"), F.col("bucket").alias("b"), "wanted")
     )
     in_bucket = Window.partitionBy("stratum").orderBy(*order)
-    return (
-        keys.join(F.broadcast(edge), ["stratum", "bucket"])
+    # One edge per stratum; what is ranked is one bucket in 65,536 of each.
+    last = (
+        keys.join(F.broadcast(edge), F.col("stratum").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
         .withColumn("rank", F.row_number().over(in_bucket))
         .where(F.col("rank") == F.col("wanted"))
         .select("stratum", F.struct(*order).alias("last"))
+        .limit(MAX_STRATA)
     )
+    return {row.stratum: row.last for row in last.collect()}
 
 
-def first_n(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The rows with the ``n`` smallest values of a unique numeric key."""
-    return df.where(_in_first_n(df, key, n))
+def _up_to(columns: list[Column], last: Row) -> Column:
+    """True up to and including ``last`` in the order of the columns, compared one by one."""
+    head, value = columns[0], F.lit(last[0])
+    if len(columns) == 1:
+        return head <= value
+    return (head < value) | ((head == value) & _up_to(columns[1:], last[1:]))
 
 
 def _in_first_n(df: DataFrame, key: str, n: int) -> Column:
-    bounds = df.agg(F.min(key).alias("low"), F.max(key).alias("high"))
-    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
-    bucket = F.width_bucket(F.col(key).cast("double"), low.cast("double"), high.cast("double") + 1, F.lit(BUCKETS))
+    low, high = df.agg(F.min(key), F.max(key)).first()
+    if low is None or n <= 0:
+        return F.lit(False)
+    bucket = F.width_bucket(F.col(key).cast("double"), F.lit(float(low)), F.lit(float(high) + 1.0), F.lit(BUCKETS))
     keys = df.select(F.lit(0).alias("stratum"), bucket.alias("bucket"), F.col(key))
-    quotas = df.sparkSession.range(1).select(F.lit(0).alias("stratum"), F.lit(n).cast("long").alias("quota"))
-    nth = _thresholds(keys, quotas, [key]).select(F.col("last")[key]).scalar()
+    last = _thresholds(keys, {0: n}, [key]).get(0)
     # Fewer than n rows give no threshold, and then every row belongs.
-    return F.lit(n > 0) & F.coalesce(F.col(key) <= nth, F.lit(True))
+    return F.lit(True) if last is None else _up_to([F.col(key)], last)
 
 
-def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """At most ``n`` rows, the same ones for the same seed whatever the partitioning."""
-    return mark_sample(df, key, n, seed).where("in_sample").drop("in_sample")
+def _in_sample(df: DataFrame, key: str, n: int, seed: int) -> Column:
+    if n <= 0:
+        return F.lit(False)
+    last = _thresholds(_hash_keys(df, key, seed, F.lit(0)), {0: n}, ["hash", "key"]).get(0)
+    return F.lit(True) if last is None else _up_to([seeded_hash(seed, key), F.col(key)], last)
 
 
-def mark_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """Add ``in_sample``, true for the rows of :func:`seeded_sample`."""
-    hashed = seeded_hash(seed, key)
-    keys = df.select(
-        F.lit(0).alias("stratum"), _hash_bucket(hashed).alias("bucket"), hashed.alias("hash"), F.col(key).alias("key")
-    )
-    quotas = df.sparkSession.range(1).select(F.lit(0).alias("stratum"), F.lit(n).cast("long").alias("quota"))
-    last = _thresholds(keys, quotas, ["hash", "key"]).select("last").scalar()
-    inside = F.struct(hashed.alias("hash"), F.col(key).alias("key")) <= last
-    return df.withColumn("in_sample", F.lit(n > 0) & F.coalesce(inside, F.lit(True)))
+def first_n(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The rows with the ``n`` smallest values of a unique numeric key."""
+    return df.where(_in_first_n(df, key, n))
 
 
 def mark_first(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -85,23 +105,36 @@ def mark_first(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.withColumn("in_sample", _in_first_n(df, key, n))
 
 
-def split_quotas(counts: DataFrame, numerator: int = 1, denominator: int = 5) -> DataFrame:
+def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """At most ``n`` rows, the same ones for the same seed whatever the partitioning."""
+    return df.where(_in_sample(df, key, n, seed))
+
+
+def mark_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """Add ``in_sample``, true for the rows of :func:`seeded_sample`."""
+    return df.withColumn("in_sample", _in_sample(df, key, n, seed))
+
+
+def split_quotas(counts: dict, numerator: int = 1, denominator: int = 5) -> dict:
     """Test rows per stratum, adding up to the exact share of all rows, rounded up.
 
-    ``counts`` has stratum and n. Whole-number arithmetic; rows left over by rounding down go
-    to the largest remainders, ties in stratum order. One row per stratum throughout.
+    Whole-number arithmetic; rows left over by rounding down go to the largest remainders,
+    ties in stratum order.
     """
-    everything = Window.partitionBy()
-    by_remainder = Window.orderBy(F.col("remainder").desc(), "stratum")
-    return (
-        counts.withColumn("total", F.sum("n").over(everything))
-        .withColumn("wanted", F.expr(f"(total * {numerator} + {denominator - 1}) div {denominator}"))
-        .withColumn("floor", F.expr("wanted * n div total"))
-        .withColumn("remainder", F.expr("wanted * n % total"))
-        .withColumn("spare", F.col("wanted") - F.sum("floor").over(everything))
-        .withColumn("quota", F.col("floor") + F.when(F.row_number().over(by_remainder) <= F.col("spare"), 1).otherwise(0))
-        .select("stratum", "n", "quota")
-    )
+    total = sum(counts.values())
+    wanted = -(-total * numerator // denominator)
+    quotas = {s: wanted * n // total for s, n in counts.items()}
+    by_remainder = sorted(counts, key=lambda s: (-(wanted * counts[s] % total), str(s)))
+    for stratum in by_remainder[: wanted - sum(quotas.values())]:
+        quotas[stratum] += 1
+    return quotas
+
+
+def stratum_counts(df: DataFrame, label: str) -> dict:
+    counts = df.groupBy(label).count().limit(MAX_STRATA + 1).collect()
+    if len(counts) > MAX_STRATA:
+        raise ValueError(f"{label} has more than {MAX_STRATA} values; it is not a class label")
+    return {row[0]: row[1] for row in counts}
 
 
 def stratified_split(
@@ -109,23 +142,18 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split`` (train or test) with exact sizes and the label shares of the whole table.
 
-    Two narrow passes over key and label find the thresholds; the table itself is not shuffled.
+    Narrow passes over key and label find the thresholds; the table itself is not shuffled.
     """
-    hashed = seeded_hash(seed, key)
-    keys = df.select(
-        F.col(label).alias("stratum"), _hash_bucket(hashed).alias("bucket"), hashed.alias("hash"), F.col(key).alias("key")
-    )
-    counts = keys.groupBy("stratum").agg(F.count("*").alias("n"))
-    quotas = split_quotas(counts, numerator, denominator)
-    # One row per label.
-    edges = quotas.join(_thresholds(keys, quotas, ["hash", "key"]), "stratum", "left").withColumnRenamed("stratum", label)
-    inside = F.struct(hashed.alias("hash"), F.col(key).alias("key")) <= F.col("last")
-    in_test = (F.col("quota") > 0) & F.coalesce(inside, F.col("quota") >= F.col("n"))
-    return (
-        df.join(F.broadcast(edges), label, "left")
-        .withColumn("split", F.when(in_test, "test").otherwise("train"))
-        .select(*df.columns, "split")
+    counts = stratum_counts(df, label)
+    quotas = split_quotas(counts, numerator, denominator) if counts else {}
+    lasts = _thresholds(_hash_keys(df, key, seed, F.col(label)), quotas, ["hash", "key"]) if counts else {}
+    order = [seeded_hash(seed, key), F.col(key)]
+    in_test = reduce(
+        or_,
+        [F.col(label).eqNullSafe(F.lit(stratum)) & _up_to(order, last) for stratum, last in lasts.items()],
+        F.lit(False),
     )
+    return df.withColumn("split", F.when(in_test, "test").otherwise("train"))
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, folds: int = 3, seed: int = 42) -> DataFrame:
