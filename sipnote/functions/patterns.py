@@ -6,7 +6,7 @@ by default and drop or keep other marks when switched to Unicode.
 Every pattern that is tried at each position of a text starts with a class of single Latin
 characters or with one range, which the engine tests directly. A class joined from several
 parts is tested through a chain of calls, several times slower; such a class is only looked at
-behind a character that has passed the first test.
+for a character that has passed the first test.
 """
 
 # The characters that count as white space (the blank is listed apart).
@@ -15,7 +15,7 @@ WIDE_SPACES = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000
 
 _CONTROLS = r"\x00\x01\x02\x03\x04\x05\x06\x07\x08\x0e\x0f\x10\x11\x12\x13\x14\x15\x16\x17\x18\x19\x1a\x1b\x7f"
 _PUNCTUATION = r"""!"#$%&'()*+,\-./:;<=>?@\[\\\]\^`{|}~"""
-_BEYOND_ASCII = r"[\x{80}-\x{10ffff}]"
+_BEYOND_ASCII = r"\x{80}-\x{10ffff}"
 
 LATIN_SPACE_RUN = f"[{LATIN_SPACES}]+"
 WIDE_SPACE = f"[\\x{{1680}}-\\x{{3000}}](?<=[{WIDE_SPACES}])"
@@ -23,10 +23,10 @@ BLANK_RUN = "  +"
 
 # Neither letter, digit, underscore nor white space: within ASCII, and beyond.
 ASCII_SPECIAL_RUN = f"[{_CONTROLS}{_PUNCTUATION}]+"
-OTHER_SPECIAL = f"{_BEYOND_ASCII}(?<![\\p{{L}}\\p{{N}}{LATIN_SPACES}{WIDE_SPACES}])"
+OTHER_SPECIAL = f"[{_BEYOND_ASCII}&&[^\\p{{L}}\\p{{N}}{LATIN_SPACES}{WIDE_SPACES}]]+"
 # The same characters and white space: whatever separates feature tokens.
 ASCII_SEPARATOR_RUN = f"[{_CONTROLS}{_PUNCTUATION} \\t\\n\\x0b\\f\\r\\x1c\\x1d\\x1e\\x1f]+"
-OTHER_SEPARATOR = f"{_BEYOND_ASCII}(?<![\\p{{L}}\\p{{N}}])"
+OTHER_SEPARATOR = f"[{_BEYOND_ASCII}&&[^\\p{{L}}\\p{{N}}]]+"
 
 # Patterns that decide what is removed or found.
 EMAIL = r"(?U)\b[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"

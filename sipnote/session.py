@@ -27,6 +27,9 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+_local_folder: str | None = None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach, as named by ``spark.checkpoint.dir``.
 
@@ -37,9 +40,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not is_local(spark):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="sipnote-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    global _local_folder
+    _local_folder = _local_folder or tempfile.mkdtemp(prefix="sipnote-")
+    return _local_folder
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -32,7 +32,8 @@ def read_reviews_csv(
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 250_000) -> None:
     """Write CSV that :func:`read_reviews_csv` reads back unchanged.
 
-    Files are kept small, as each is read by one task.
+    CSV does not tell an empty text from a missing one: both come back as null. Files are kept
+    small, as each is read by one task.
     """
     (
         df.write.mode("overwrite")
