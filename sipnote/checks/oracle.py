@@ -400,6 +400,16 @@ ORACLE: dict[str, str] = {
                f.true_label, f.pred_a AS pred_label
         FROM (VALUES {KEYWORDS}) AS k(keyword) LEFT JOIN counted c USING (keyword)
         LEFT JOIN (SELECT * FROM found WHERE rank = 1) f USING (keyword)""",
+    "sampled_error_analysis": over_reviews(
+        f"""SELECT k.keyword, count(s.review_id) AS n_errors, min(s.review_id) AS example_id,
+                   min_by(substring(s.text, 1, 180), s.review_id) AS snippet,
+                   min_by(s.sentiment, s.review_id) AS true_label, min_by(s.pred, s.review_id) AS pred_label
+            FROM (VALUES {KEYWORDS}) AS k(keyword) LEFT JOIN scored s
+              ON s.sentiment <> s.pred AND contains(lower(s.text), k.keyword) GROUP BY k.keyword""",
+        LABELLED
+        + f""", scored AS (SELECT *, {keyword_rule("coalesce(text, '')")} AS pred FROM labelled
+                           ORDER BY md5(concat('42:', review_id)), review_id LIMIT 500)""",
+    ),
     "gap_comparison": f"""WITH {PREDICTED},
         g AS (SELECT keyword, count(*) FILTER (WHERE true_label <> pred_a) AS errors_a,
                      count(*) FILTER (WHERE true_label <> pred_b) AS errors_b

@@ -20,6 +20,7 @@ from sipnote.operators import profile, ranking, spelling, translation
 from sipnote.operators.lemmatize import lemmatize_with_table
 from sipnote.operators.scoring import score_batches
 from sipnote.plans import modeling
+from sipnote.plans.error_analysis import analyse_errors
 from sipnote.plans.process import clean_reviews, process_reviews
 from sipnote.session import new_path, written
 from sipnote.sources.tables import read_reviews_csv, spread, write_csv
@@ -379,6 +380,14 @@ def keyword_gap(spark, sf):
     return E.keyword_gap(wrong, "review_id", "text", "true_label", "pred_a")
 
 
+@query
+def sampled_error_analysis(spark, sf):
+    """Keyword gaps of a scorer on a seeded sample of the labelled reviews."""
+    rows = _labelled(spark, sf).select("review_id", "text", F.col("sentiment").alias("true_label"))
+    scored = score_batches(rows, "text", "pred_label", _keyword_scorer_loader())
+    return analyse_errors(scored, "true_label", "pred_label", sample_size=500).gaps
+
+
 @query
 def gap_comparison(spark, sf):
     return E.gap_comparison(_predicted(spark, sf), "text", "true_label", "pred_a", "pred_b")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sipnote.functions import text as T
@@ -53,11 +53,18 @@ def clean_before_lemmas(df: DataFrame, source: str, target: str, options: CleanO
     return df
 
 
+def collapse(text: Column, options: CleanOptions) -> Column:
+    """One blank between words. Contractions leave blanks only, and later stages only delete."""
+    return T.collapse_blanks(text) if options.contractions else T.collapse_whitespace(text)
+
+
 def clean_after_specials(df: DataFrame, source: str, target: str, options: CleanOptions) -> DataFrame:
     """Lemmas, then one blank between words."""
-    text = F.col(source)
-    done = T.lemmatize_words(text, options.lemmas) if options.lemmatize else T.collapse_whitespace(text)
-    return df.withColumn(target, done)
+    df = df.withColumn(target, collapse(F.col(source), options))
+    if options.lemmatize:
+        words = F.split(F.col(target), " ")
+        df = df.withColumn(target, F.array_join(T.lemmas_of(words, options.lemmas), " "))
+    return df
 
 
 def with_clean_text(

@@ -36,6 +36,12 @@ def collapse_whitespace(text: Column) -> Column:
     return F.btrim(F.regexp_replace(blanks, P.BLANK_RUN, " "))
 
 
+def collapse_blanks(text: Column) -> Column:
+    """The same for a text whose only white space is the blank."""
+    single = F.when(text.contains("  "), F.regexp_replace(text, P.BLANK_RUN, " ")).otherwise(text)
+    return F.btrim(single)
+
+
 def split_words(text: Column) -> Column:
     """White-space separated words; an empty text gives one empty word.
 

@@ -77,7 +77,8 @@ def _up_to(columns: list[Column], last: Row) -> Column:
     return (head < value) | ((head == value) & _up_to(columns[1:], last[1:]))
 
 
-def _in_first_n(df: DataFrame, key: str, n: int) -> Column:
+def in_first_n(df: DataFrame, key: str, n: int) -> Column:
+    """Condition on the key that holds for the rows of :func:`first_n`."""
     low, high = df.agg(F.min(key), F.max(key)).first()
     if low is None or n <= 0:
         return F.lit(False)
@@ -88,7 +89,8 @@ def _in_first_n(df: DataFrame, key: str, n: int) -> Column:
     return F.lit(True) if last is None else _up_to([F.col(key)], last)
 
 
-def _in_sample(df: DataFrame, key: str, n: int, seed: int) -> Column:
+def in_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> Column:
+    """Condition on the key that holds for the rows of :func:`seeded_sample`."""
     if n <= 0:
         return F.lit(False)
     last = _thresholds(_hash_keys(df, key, seed, F.lit(0)), {0: n}, ["hash", "key"]).get(0)
@@ -97,22 +99,12 @@ def _in_sample(df: DataFrame, key: str, n: int, seed: int) -> Column:
 
 def first_n(df: DataFrame, key: str, n: int) -> DataFrame:
     """The rows with the ``n`` smallest values of a unique numeric key."""
-    return df.where(_in_first_n(df, key, n))
-
-
-def mark_first(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Add ``in_sample``, true for the rows of :func:`first_n`."""
-    return df.withColumn("in_sample", _in_first_n(df, key, n))
+    return df.where(in_first_n(df, key, n))
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """At most ``n`` rows, the same ones for the same seed whatever the partitioning."""
-    return df.where(_in_sample(df, key, n, seed))
-
-
-def mark_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """Add ``in_sample``, true for the rows of :func:`seeded_sample`."""
-    return df.withColumn("in_sample", _in_sample(df, key, n, seed))
+    return df.where(in_sample(df, key, n, seed))
 
 
 def split_quotas(counts: dict, numerator: int = 1, denominator: int = 5) -> dict:
@@ -160,7 +152,7 @@ def stratified_folds(df: DataFrame, key: str, label: str, folds: int = 3, seed:
     """Add ``fold`` (0 to folds-1) by the exact rank of a row within its label.
 
     The rank is the number of rows in earlier buckets plus the rank within the bucket, so a
-    label is ranked by many tasks at once. The offsets are at most BUCKETS rows per label.
+    label is ranked by many tasks at once. Join and window share one partitioning.
     """
     hashed = seeded_hash(seed, key)
     keyed = df.withColumn("_hash", hashed).withColumn("_bucket", _hash_bucket(hashed))
@@ -174,7 +166,7 @@ def stratified_folds(df: DataFrame, key: str, label: str, folds: int = 3, seed:
     in_bucket = Window.partitionBy(label, "_bucket").orderBy("_hash", key)
     rank = F.col("_before") + F.row_number().over(in_bucket) - 1
     return (
-        keyed.join(F.broadcast(offsets), [label, "_bucket"])
+        keyed.join(offsets, [label, "_bucket"])
         .withColumn("fold", (rank % folds).cast("int"))
         .select(*df.columns, "fold")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sipnote.functions.text import tokens
 from sipnote.operators.lookup import BROADCAST_BYTES
 from sipnote.operators.words import replace_words
+from sipnote.session import written
 
 CORRECTABLE = "^[a-z]{4,}$"
 
@@ -74,10 +75,13 @@ def spell_corrections(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
 def correct_spelling(
     df: DataFrame, vocabulary: DataFrame, key: str, source: str, target: str, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Add ``target``: ``source`` with unknown words corrected; the others stay."""
+    """Add ``target``: ``source`` with unknown words corrected; the others stay.
+
+    The corrections are written to the shared folder, as the look-up reads them more than once.
+    """
     # Words are looked up as they stand between blanks, so list those and not their cores.
     words = df.select(F.explode(F.split(F.coalesce(F.col(source), F.lit("")), " ")).alias("word"))
     words = words.where(F.col("word").rlike(CORRECTABLE)).distinct()
-    corrections = spell_corrections(words, vocabulary)
+    corrections = written(spell_corrections(words, vocabulary), "corrections")
     table = corrections.select(F.col("word").alias("form"), F.col("correction").alias("replacement"))
     return replace_words(df, table, key, source, target, limit=limit)
