@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +36,16 @@ def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
 def maybe_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
     """Mark ``df`` for a broadcast if its measured size allows, else leave the join to a shuffle."""
     return F.broadcast(df) if small(df, row_bytes) else df
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for what is planned and run inside."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

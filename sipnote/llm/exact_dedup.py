@@ -10,12 +10,11 @@ bytes themselves, and a digest that two different texts share is resolved by tho
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sipnote.llm.common import lower_ascii, maybe_broadcast, whole
+from sipnote.llm.common import lower_ascii, maybe_broadcast, settings, whole
 from sipnote.session import new_path, written
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -26,18 +25,6 @@ STATE = {
 }
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]):
-    before = {k: spark.conf.get(k, None) for k in values}
-    for k, v in values.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
@@ -54,7 +41,7 @@ def dedup_stream(rows: DataFrame) -> DataFrame:
 
 def run_state(spark: SparkSession, feed: str, schema, checkpoint: str) -> DataFrame:
     """Stream the files of ``feed`` not seen yet into the state, and return the state as a table."""
-    with _settings(spark, STATE):
+    with settings(spark, STATE):
         stream = spark.readStream.schema(schema).parquet(feed)
         query = (
             dedup_stream(stream)

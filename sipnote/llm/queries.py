@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sipnote.llm import exact_dedup, secrets, sharding
+from sipnote.llm import exact_dedup, packing, secrets, sharding
 from sipnote.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op3_sharding(spark, sf):
     )
 
 
+@query
+def op7_best_fit_packing(spark, sf):
+    return packing.pack_documents(table(spark, sf, "documents"))
+
+
 @query
 def op9_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(table(spark, sf, "documents"))
