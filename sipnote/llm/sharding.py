@@ -109,15 +109,15 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[list[str], int]:
             refine = []
             for a, b in zip(near[:-1], far[:-1]):
                 first, last = np.searchsorted(ranges.ends, [a, b], side="right")
-                refine += [i for i in range(first, min(last, len(keys) - 1) + 1) if ranges.open[i]]
+                refine += range(first, min(last, len(ranges.ends) - 1) + 1)
         refine = sorted({i for i in refine if ranges.open[i]})
         if not refine:
             found, _ = ranges.cuts(high, shards, False)
             starts = [np.searchsorted(ranges.ends, c, side="right") for c in found[:-1] if c < total]
             return [str(ranges.keys[i]) for i in starts], high
         by_length: dict[int, list[str]] = {}
-        for i in refine:
-            by_length.setdefault(len(keys[i]), []).append(str(keys[i]))
+        for key in map(str, ranges.keys[refine]):
+            by_length.setdefault(len(key), []).append(key)
         for length, within in by_length.items():
             for k in within:
                 del parts[k]
