@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sipnote.llm import exact_dedup, packing, secrets, sharding
+from sipnote.llm import exact_dedup, packing, secrets, sharding, toxicity
 from sipnote.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,12 @@ def op3_sharding(spark, sf):
     )
 
 
+@query
+def op5_toxicity(spark, sf):
+    scored = toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
 @query
 def op7_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"))
