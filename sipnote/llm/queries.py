@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sipnote.llm import exact_dedup, packing, secrets, sharding, toxicity
+from sipnote.llm import exact_dedup, licenses, neighbours, packing, secrets, sharding, toxicity
 from sipnote.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op3_sharding(spark, sf):
     )
 
 
+@query
+def op4_nearest_neighbours(spark, sf):
+    return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 @query
 def op5_toxicity(spark, sf):
     scored = toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
@@ -51,3 +56,8 @@ def op7_best_fit_packing(spark, sf):
 @query
 def op9_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op10_license_scans(spark, sf):
+    return licenses.license_summary(licenses.find_licenses(table(spark, sf, "documents")))
