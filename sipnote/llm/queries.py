@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sipnote.llm import exact_dedup, licenses, neighbours, packing, secrets, sharding, toxicity
+from sipnote.llm import exact_dedup, licenses, neighbours, packing, quality, secrets, sharding, toxicity
 from sipnote.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,19 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_quality(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    judged, (nats, limit, kept) = quality.classify(docs, labels, ["doc_id", "lang"])
+    return judged.select(
+        "doc_id",
+        "lang",
+        F.exp(nats).alias("perplexity"),
+        F.exp(limit).alias("most_perplexity"),
+        F.col(kept).alias("kept"),
+    )
+
+
 @query
 def op2_secret_scans(spark, sf):
     return secrets.secret_digest(secrets.find_secrets(table(spark, sf, "documents")))
