@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sipnote.llm import exact_dedup, licenses, neighbours, packing, quality, secrets, sharding, toxicity
+from sipnote.llm import exact_dedup, jaccard_join, licenses, neighbours, packing, quality, secrets, sharding, toxicity
 from sipnote.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,11 @@ def op5_toxicity(spark, sf):
     return scored.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
 
 
+@query
+def op6_jaccard_join(spark, sf):
+    return jaccard_join.linked_documents(table(spark, sf, "documents"))
+
+
 @query
 def op7_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"))
