@@ -120,3 +120,25 @@ def exact_duplicates(
         result = result.unionByName(told)
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     return result.select("doc_id", "keep_id", F.col("group_size").cast("long"), kept.alias("kept"), "text_sha256")
+
+
+def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, one for every text: that with the largest id.
+
+    Rows equal in id and text are copies too, of which any one stays. Other rules as above.
+    """
+    judged = written(exact_duplicates(docs, id_col, text_col), "dedup-judged")
+    key, sha = F.col("_drop.doc_id"), F.sha2(lower_ascii(whole(F.col(f"_docs.{text_col}"))), 256)
+    mine = F.col(f"_docs.{id_col}").eqNullSafe(key) & (sha == F.col("_drop.text_sha256"))
+    dropped = judged.where("NOT kept").select("doc_id", "text_sha256").distinct()
+    kept = docs.alias("_docs").join(maybe_broadcast(dropped, 112).alias("_drop"), mine, "left_anti")
+    again = judged.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1").drop("count")
+    again = written(again, "dedup-repeated")
+    if again.isEmpty():
+        return kept
+    repeated = maybe_broadcast(again, 112).alias("_drop")
+    once = kept.alias("_docs").join(repeated, mine, "left_anti")
+    copies = kept.alias("_docs").join(repeated, mine, "left_semi")
+    text = lower_ascii(whole(F.col(text_col)))
+    one = copies.groupBy(F.col(id_col), text).agg(F.first(F.struct("*")).alias("_row")).select("_row.*")
+    return once.unionByName(one)

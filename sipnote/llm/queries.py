@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sipnote.llm import exact_dedup, jaccard_join, licenses, neighbours, packing, quality, secrets, sharding, toxicity
+from sipnote.llm import exact_dedup, jaccard_join, licenses, mixing, neighbours, packing, quality, secrets, sharding, toxicity
 from sipnote.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,20 @@ def op7_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"))
 
 
+# Shares of tokens the languages should have.
+LANGUAGE_TARGETS = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
+# Documents are repeated where a language is short of tokens, and not dropped where there are many.
+LEAST_RATE = 1.0
+
+
+@query
+def op8_mixing(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    mixed, report = mixing.mix(docs, mixing.labelled_languages(docs, labels), LANGUAGE_TARGETS, least=LEAST_RATE)
+    posteriors = [F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(report["domains"])]
+    return mixed.select("document.doc_id", "tokens", *posteriors, "rate", "copies")
+
+
 @query
 def op9_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(table(spark, sf, "documents"))
