@@ -1,0 +1,75 @@
+from collections import defaultdict
+from hashlib import sha256
+
+from pyspark.sql import functions as F
+
+from sipnote.llm import exact_dedup as D
+from sipnote.session import new_path
+from tests.llm.helpers import docs_of, lower_ascii
+
+ROWS = [
+    (1, "Abc"),
+    (2, "aBC"),
+    (3, "abcd"),
+    (4, "É"),
+    (5, "é"),
+    (6, None),
+    (7, ""),
+    (8, "x" * 100_000),
+    (9, "X" * 100_000),
+    (None, "abc"),
+    (None, "null id"),
+    (10, "rep"),
+    (10, "rep"),
+    *[(i, "hot") for i in range(100, 160)],
+]
+
+
+def expected(rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[lower_ascii(t)].append(i)
+    out = []
+    for i, t in rows:
+        own = groups[lower_ascii(t)]
+        keep = max((x for x in own if x is not None), default=None)
+        out.append((i, keep, len(own), i == keep, sha256(lower_ascii(t).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def test_rules(spark):
+    got = D.exact_duplicates(docs_of(spark, *ROWS))
+    assert sorted(map(tuple, got.collect()), key=str) == expected(ROWS)
+    assert D.exact_duplicates(docs_of(spark, *ROWS).limit(0)).count() == 0
+
+
+def test_clashing_columns(spark):
+    docs = docs_of(spark, *ROWS).withColumnRenamed("lang", "digest").withColumnRenamed("source", "kept")
+    assert sorted(map(tuple, D.exact_duplicates(docs).collect()), key=str) == expected(ROWS)
+
+
+def test_weak_digest_is_resolved_by_bytes(spark):
+    weak = lambda text: F.unhex(F.substring(F.sha2(text, 256), 1, 1))
+    got = D.exact_duplicates(docs_of(spark, *ROWS), digest=weak)
+    assert sorted(map(tuple, got.collect()), key=str) == expected(ROWS)
+
+
+def test_rows_left(spark):
+    left = D.without_duplicates(docs_of(spark, *ROWS))
+    assert left.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    texts = [lower_ascii(r.text) for r in left.collect()]
+    assert sorted(texts) == sorted({lower_ascii(t) for _, t in ROWS})
+    assert {r.doc_id for r in left.collect()} == {2, 3, 4, 5, 7, 9, None, 10, 159}
+
+
+def test_state_carries_on(spark):
+    feed, checkpoint = new_path(spark, "feed"), new_path(spark, "checkpoint")
+    schema = "digest binary, doc_id long, locator string"
+
+    def add(*rows):
+        spark.createDataFrame([(bytes(d), i, "f") for d, i in rows], schema).coalesce(1).write.mode("append").parquet(feed)
+        state = D.run_state(spark, feed, spark.read.parquet(feed).schema, checkpoint)
+        return {bytes(r.digest): (r.n, r.kept.doc_id) for r in state.collect()}
+
+    assert add((b"a", 1), (b"b", 5)) == {b"a": (1, 1), b"b": (1, 5)}
+    assert add((b"a", 9), (b"a", 3), (b"c", 2)) == {b"a": (3, 9), b"b": (1, 5), b"c": (1, 2)}
