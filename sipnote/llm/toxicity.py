@@ -28,7 +28,8 @@ WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6)
 # About so many labelled rows at most take part in fitting; a hash of the id decides which.
 SAMPLE = 60_000
-PRIOR = 500.0
+# Weight of the prior, in proportion to the toxic documents.
+PRIOR = 0.1
 # A word counts as toxic if its log-odds are this high, and this many deviations from none.
 LEAST_ODDS = 2.0
 LEAST_Z = 4.0
@@ -48,9 +49,10 @@ def words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def log_odds(y1: np.ndarray, y0: np.ndarray, n1: float, n0: float, prior: float = PRIOR):
+def log_odds(y1: np.ndarray, y0: np.ndarray, n1: float, n0: float, share: float = PRIOR):
     """Log-odds ratio of toxic to other documents and its z-score, with a prior in proportion to the
     counts in both together."""
+    prior = share * n1
     a = prior * (y1 + y0) / (n1 + n0)
     odds = np.log((y1 + a) / (n1 + prior - y1 - a)) - np.log((y0 + a) / (n0 + prior - y0 - a))
     return odds, odds / np.sqrt(1 / (y1 + a) + 1 / (y0 + a))
