@@ -7,11 +7,13 @@ common subset of that size are linked, without any further look. Linking all hol
 the smallest of them loses no component, as what it takes to be linked grows with size.
 
 Heavy (large) sets meet in inverted lists. Shingles are ordered, the rare ones first, by a sketch of
-their frequencies; two linked sets share a shingle among the first tenth of each, so only these are
-listed. A list is scanned for pairs by size and by the parity of hashed shingles, which bounds the
-difference of two sets from below and so drops no link; what passes is intersected. First every
-list is compared with one of its sets only. What is thereby linked need not be compared again; then
-all others are. Lists longer than a block are dealt to tasks by pairs of blocks.
+their frequencies; two linked sets share ``SHARED`` of the shingles which come first in each (a
+tenth of them and a few more), so only these are listed. Short lists, of ``SHORT`` sets at most, give
+their pairs, and pairs that meet in enough of them are intersected. Sets that meet in any longer list
+are compared there by size and by the parity of hashed shingles, which bounds the difference of two
+sets from below and so drops no link; what passes is intersected. First every long list is compared
+with one of its sets only. What is thereby linked need not be compared again; then all others are.
+Lists longer than a block are dealt to tasks by pairs of blocks.
 
 The size from which sets are heavy is where listing subsets starts to cost more than scanning.
 """
@@ -26,7 +28,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sipnote.llm.common import maybe_broadcast, settings, whole
@@ -37,8 +39,10 @@ WORDS = 3
 # Linked if 100 * intersection >= PERCENT * union.
 PERCENT = 90
 CHUNK = 1 << 20
-COUNTERS = 1 << 18
+COUNTERS = 1 << 20
 BLOCK = 2000
+SHORT = 64
+SHARED = 4
 # What a scan costs a set beside its entries, in rows: comparing and intersecting.
 SCAN_ROWS = 40
 BITS = (1024, 8192)
@@ -157,7 +161,7 @@ def summarise(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(n), pa.binary())], names)
         if counters.any():
             one = [pa.nulls(1, pa.int64())] * 3
-            yield pa.RecordBatch.from_arrays([*one, pa.array([counters.astype("<u4").tobytes()], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([*one, pa.array([np.minimum(counters, 65_535).astype("<u2").tobytes()], pa.binary())], names)
 
     return written(docs.mapInArrow(run, "doc_id long, n long, set_id long, counters binary"), "shingle-sets")
 
@@ -168,7 +172,7 @@ def frequency_classes(rows: DataFrame) -> np.ndarray:
     The counters of all tasks are summed slice by slice, so that no task holds them all.
     """
     slices = 64
-    width = COUNTERS // slices * 4
+    width = COUNTERS // slices * 2
     parts = rows.where(F.col("counters").isNotNull()).select(
         F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), "counters"
     )
@@ -180,7 +184,7 @@ def frequency_classes(rows: DataFrame) -> np.ndarray:
         for batch in batches:
             for k, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 total = totals.setdefault(k, np.zeros(COUNTERS // slices, np.int64))
-                total += np.frombuffer(data, "<u4")
+                total += np.frombuffer(data, "<u2")
         columns = [pa.array(list(totals), pa.int32()), pa.array([t.tobytes() for t in totals.values()], pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, ["slice", "total"])
 
@@ -198,7 +202,7 @@ def frequency_classes(rows: DataFrame) -> np.ndarray:
 def boundary(sizes: dict[int, int], percent: int) -> int:
     """The first size that is heavy: subsets are listed below it, where that costs less."""
     best, best_cost, light = 1, None, 0
-    scan = lambda n: n - smallest_partner(n, percent) + 1 + SCAN_ROWS
+    scan = lambda n: n - smallest_partner(n, percent) + SHARED + SCAN_ROWS
     heavy = sum(k * scan(n) for n, k in sizes.items())
     for n in range(1, max(sizes, default=0) + 2):
         if best_cost is None or light + heavy < best_cost:
@@ -228,7 +232,7 @@ class Lister:
     def first(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The shingles by which a set has to be found, rare ones first, and their classes."""
         n = len(shingles)
-        take = n - smallest_partner(n, self.percent) + 1
+        take = min(n, n - smallest_partner(n, self.percent) + SHARED)
         rank = self.classes[(shingles % np.uint64(COUNTERS)).astype(np.int64)]
         rare = np.flatnonzero(rank == 0)
         if len(rare) >= take:
@@ -310,34 +314,65 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rest
 
 
-def _shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop entries whose list holds one set only, and repeats of a set in a list.
+LISTED = "key long, set_id long, n int, shared int, other long, other_n int"
 
-    One entry is held back from batch to batch, never a whole list.
+
+class Lists:
+    """Sorted entries (key, set_id, n, shared) to pairs of short lists and entries of long ones.
+
+    Lists with one set are dropped. Never more than a short list is held back between batches: of a
+    list known to be long the last entry, which was given out already.
     """
-    held, matched = None, False
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        if held is not None:
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        key, owner = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        again = np.concatenate(([False], (key[1:] == key[:-1]) & (owner[1:] == owner[:-1])))
-        batch, key = batch.filter(pa.array(~again)), key[~again]
-        same = key[1:] == key[:-1]
-        before = np.concatenate(([matched], same))
-        keep = before[:-1] | same
-        if keep.any():
-            yield batch.slice(0, len(keep)).filter(pa.array(keep))
-        held, matched = batch.slice(len(keep)), bool(before[-1])
-    if matched:
-        yield held
+
+    def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, known = np.empty((0, 4), np.int64), False
+        for batch in batches:
+            new = np.column_stack([batch.column(i).to_numpy().astype(np.int64) for i in (3, 0, 1, 2)])
+            rows = np.concatenate([held, new])
+            if not len(rows):
+                continue
+            rows = rows[np.concatenate(([True], (rows[1:, :3] != rows[:-1, :3]).any(axis=1)))]
+            starts = np.flatnonzero(np.concatenate(([True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1))))
+            sizes = np.diff(np.append(starts, len(rows)))
+            long = sizes > SHORT
+            long[0] |= known
+            ends = len(starts) if long[-1] else len(starts) - 1
+            yield from self._out(rows, starts[:ends], sizes[:ends], long[:ends], known)
+            held = rows[-1:] if long[-1] else rows[starts[-1] :]
+            known = bool(long[-1])
+        if len(held) and not known:
+            yield from self._out(held, np.zeros(1, int), np.array([len(held)]), np.zeros(1, bool), False)
+
+    def _out(self, rows, starts, sizes, long, first_known: bool) -> Iterator[pa.RecordBatch]:
+        """What the given lists make; ``first_known``: the first row was given out before."""
+        light = rows[starts, 0] > 0
+        entry = np.zeros(len(rows), bool)
+        entry[: int(sizes.sum())] = np.repeat(long | (light & (sizes > 1)), sizes)
+        if first_known:
+            entry[0] = False
+        if entry.any():
+            shared, key, owner, n = rows[entry].T
+            yield self._batch(key, owner, n, shared, None, None)
+        short = ~light & ~long & (sizes > 1)
+        for size in np.unique(sizes[short]).tolist():
+            at = starts[short & (sizes == size)][:, None]
+            i, j = np.triu_indices(size, 1)
+            a, b = rows[(at + i).ravel()], rows[(at + j).ravel()]
+            yield self._batch(None, a[:, 2], a[:, 3], None, b[:, 2], b[:, 3])
+
+    @staticmethod
+    def _batch(key, owner, n, shared, other, other_n) -> pa.RecordBatch:
+        size, long, int_ = len(owner), pa.int64(), pa.int32()
+        made = lambda x, t: pa.nulls(size, t) if x is None else pa.array(x.astype(t.to_pandas_dtype()), t)
+        columns = [made(key, long), made(owner, long), made(n, int_)]
+        columns += [made(shared, int_), made(other, long), made(other_n, int_)]
+        return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in LISTED.split(", ")])
 
 
 def shared_lists(entries: DataFrame) -> DataFrame:
-    """The entries of lists with at least two sets, written."""
-    ordered = entries.repartition(F.col("key")).sortWithinPartitions("key", "set_id")
-    return written(ordered.mapInArrow(_shared_only, entries.schema), "shared-lists")
+    """Pairs of short lists, entries of long ones and of subsets (``LISTED``), written."""
+    ordered = entries.repartition(F.col("key")).sortWithinPartitions("shared", "key", "set_id")
+    return written(ordered.mapInArrow(lambda b: Lists().run(b), LISTED), "shared-lists")
 
 
 def bitmaps(shingles: np.ndarray) -> list[bytes | None]:
@@ -367,7 +402,7 @@ def load_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     rows = docs.join(maybe_broadcast(wanted, 16), "doc_id", "left_semi")
     schema = "set_id long, small binary, large binary, shingles array<long>"
-    return written(rows.mapInArrow(run, schema).dropDuplicates(["set_id"]), "list-sets")
+    return written(rows.mapInArrow(run, schema), "list-sets")
 
 
 @dataclass
@@ -430,11 +465,14 @@ class Scan:
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar, by their intersection."""
+    pairs = written(pairs.distinct(), "likely-pairs")
+    ids = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
+    sets = sets.join(maybe_broadcast(ids, 16), "set_id", "left_semi")
     one = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
     union = F.size("x") + F.size("y") - shared
-    return pairs.distinct().join(one, "a").join(two, "b").where(100 * shared >= percent * union).select("a", "b")
+    return pairs.join(one, "a").join(two, "b").where(100 * shared >= percent * union).select("a", "b")
 
 
 def _scanned(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
@@ -469,24 +507,42 @@ def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
 
     light = lists.where("shared > 0")
     least = light.groupBy("key", "shared").agg(F.min(F.struct("n", "set_id")).alias("least"))
-    asked = F.ceil(F.lit(percent) * (F.col("n") + F.col("least.n")) / F.lit(100 + percent))
     by_subset = (
         light.join(least, ["key", "shared"])
-        .where((F.col("set_id") != F.col("least.set_id")) & (F.col("shared") >= asked))
+        .where((F.col("set_id") != F.col("least.set_id")) & (F.col("shared") >= _asked("n", "least.n", percent)))
         .select(F.col("least.set_id").alias("a"), F.col("set_id").alias("b"))
     )
 
+    pair = [F.least("set_id", "other").alias("a"), F.greatest("set_id", "other").alias("b")]
+    asked = _asked("n", "other_n", percent)
+    met = written(
+        lists.where("key IS NULL")
+        .where(asked <= F.least("n", "other_n"))
+        .select(*pair, F.least(F.lit(SHARED), asked).alias("asked"))
+        .groupBy("a", "b")
+        .agg(F.count(F.lit(1)).alias("met"), F.max("asked").alias("asked"))
+        .where("met >= asked")
+        .select("a", "b"),
+        "met-pairs",
+    )
     scanned = lists.where("shared = 0")
-    wanted = scanned.select("set_id").distinct().join(reps, "set_id").select("doc_id")
+    either = met.select(F.col("a").alias("set_id")).unionByName(met.select(F.col("b").alias("set_id")))
+    wanted = either.unionByName(scanned.select("set_id")).distinct().join(reps, "set_id").select("doc_id")
     with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "512"}):
         sets = load_sets(docs, wanted, words)
-        star = written(_verified(_scanned(scanned, sets, None, percent), sets, percent), "star-links")
+        likely = met.unionByName(_scanned(scanned, sets, None, percent))
+        star = written(_verified(likely, sets, percent), "star-links")
         both = star.select(F.col("a").alias("set_id"), "b").unionByName(star.select(F.col("b").alias("set_id"), F.col("a").alias("b")))
         labels = _labels(both)
         rest = written(_verified(_scanned(scanned, sets, labels, percent), sets, percent), "other-links")
     return rows, written(by_subset.unionByName(star).unionByName(rest).distinct(), "set-links")
 
 
+def _asked(n: str, other: str, percent: int) -> Column:
+    """The least intersection of linked sets, as :func:`needed`."""
+    return F.ceil(F.lit(percent) * (F.col(n) + F.col(other)) / F.lit(100 + percent))
+
+
 def _labels(both: DataFrame) -> DataFrame:
     """(set_id, label): sets linked to one middle share its label. ``both`` has each link both ways.
 
