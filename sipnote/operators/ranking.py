@@ -1,104 +1,117 @@
 """First rows, seeded samples and exact stratified splits without sorting the table.
 
-All of them ask for "the q smallest rows by some order". A sort or a window would bring a whole
+All of them ask for "the q first rows by some order". A sort or a window would bring a whole
 stratum (a label holds a third of the rows or more) to one task. Instead the order is cut into
-65,536 buckets, a histogram says in which bucket the q-th row lies, only that bucket is ranked,
-and the row found there is a threshold. The thresholds, one row per stratum, become constants
-of a row-wise condition: the table itself is never shuffled, and a threshold on a plain column
-is pushed down to the scan.
+buckets, a histogram says in which bucket the q-th row lies, only that bucket is ranked, and the
+row found there is a threshold. For one order over all rows the bucket is cut again while it is
+large, so that outlying keys do not crowd the rest into it; its threshold is a constant of a
+row-wise condition, pushed down to the scan where the order is a plain column. Thresholds of many
+strata are a table with one row each, joined by label.
+
+Rows with a null key come last. Rows of one key are told apart by a hash of all their columns;
+only rows equal in every column stay together.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sipnote.operators.lookup import fits_broadcast
+
 BUCKETS = 65_536
-# Strata are classes; their counts and thresholds are collected, so there may not be many.
-MAX_STRATA = 1_000
+# A bucket with more rows than this is cut again before its rows are ranked.
+RANKED_ROWS = 100_000
 
 
 def seeded_hash(seed: int, key: str) -> Column:
-    """A reproducible pseudo-random order of the rows."""
+    """A reproducible pseudo-random order of the rows; null for a null key."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-def _hash_bucket(hashed: Column) -> Column:
-    return F.conv(F.left(hashed, F.lit(4)), 16, 10).cast("int")
+def _tie(df: DataFrame) -> Column:
+    """A hash of the whole row."""
+    hashable = [f"`{f.name}`" for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return F.xxhash64(*hashable)
 
 
-def _hash_keys(df: DataFrame, key: str, seed: int, stratum: Column) -> DataFrame:
-    hashed = seeded_hash(seed, key)
-    return df.select(
-        stratum.alias("stratum"), _hash_bucket(hashed).alias("bucket"), hashed.alias("hash"), F.col(key).alias("key")
-    )
+def _hash_number(hashed: Column) -> Column:
+    """The first 52 bits of a hash in hex, in the same order."""
+    return F.conv(F.left(hashed, F.lit(13)), 16, 10).cast("long")
 
 
-def _thresholds(keys: DataFrame, quotas: dict, order: list[str]) -> dict[object, Row]:
-    """Per stratum the last row that still belongs to its quota.
+def _narrowed(rows: DataFrame, n: int) -> tuple[DataFrame, int, int]:
+    """The rows of the last bucket looked at, the place of the n-th row in it, and its size."""
+    low, high = rows.agg(F.min("place"), F.max("place")).first()
+    while True:
+        here = rows.where(F.col("place").between(low, high))
+        width = (float(high) - float(low)) / BUCKETS or 1.0
+        bucket = F.least(F.floor((F.col("place").cast("double") - float(low)) / width), F.lit(BUCKETS - 1))
+        counts = here.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.min("place"), F.max("place"))
+        for _, count, first, last in sorted(counts.collect()):  # at most BUCKETS
+            if n <= count:
+                break
+            n -= count
+        if count <= RANKED_ROWS or first == last or (first, last) == (low, high):
+            return rows.where(F.col("place").between(first, last)), n, count
+        low, high = first, last
 
-    ``keys`` has stratum, bucket and the order columns. A stratum with a quota of 0, or with
-    fewer rows than its quota, has no threshold.
+
+def _nth(rows: DataFrame, n: int, order: list[str]) -> tuple:
+    """The values of ``order`` of the n-th row. ``place`` is a number that goes with the order.
+
+    ``rows`` has at least ``n`` rows, and ``place`` is not null.
     """
-    quota = reduce(
-        lambda rest, item: F.when(F.col("stratum").eqNullSafe(F.lit(item[0])), item[1]).otherwise(rest),
-        quotas.items(),
-        F.lit(0),
-    )
-    running = Window.partitionBy("stratum").orderBy("bucket")
-    edge = (
-        keys.groupBy("stratum", "bucket")
-        .count()
-        .withColumn("upto", F.sum("count").over(running))
-        .withColumn("wanted", quota - F.col("upto") + F.col("count"))
-        .where(F.col("wanted").between(1, F.col("count")))
-        .select(F.col("stratum").alias("s"), F.col("bucket").alias("b"), "wanted")
-    )
-    in_bucket = Window.partitionBy("stratum").orderBy(*order)
-    # One edge per stratum; what is ranked is one bucket in 65,536 of each.
-    last = (
-        keys.join(F.broadcast(edge), F.col("stratum").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-        .withColumn("rank", F.row_number().over(in_bucket))
-        .where(F.col("rank") == F.col("wanted"))
-        .select("stratum", F.struct(*order).alias("last"))
-        .limit(MAX_STRATA)
-    )
-    return {row.stratum: row.last for row in last.collect()}
+    here, n, count = _narrowed(rows, n)
+    if count > RANKED_ROWS and order == ["key", "tie"]:
+        # Very many rows of one key: their hashes are cut in the same way.
+        tied = here.withColumn("place", F.col("tie"))
+        return (here.first().key, _nth(tied, n, ["tie"])[0])
+    ranked = here.withColumn("rank", F.row_number().over(Window.partitionBy().orderBy(*order)))
+    return tuple(ranked.where(F.col("rank") == n).select(*order).first())
 
 
-def _up_to(columns: list[Column], last: Row) -> Column:
+def _up_to(columns: list[Column], last: tuple) -> Column:
     """True up to and including ``last`` in the order of the columns, compared one by one."""
-    head, value = columns[0], F.lit(last[0])
+    head, value = columns[0], last[0] if isinstance(last[0], Column) else F.lit(last[0])
     if len(columns) == 1:
         return head <= value
     return (head < value) | ((head == value) & _up_to(columns[1:], last[1:]))
 
 
-def in_first_n(df: DataFrame, key: str, n: int) -> Column:
-    """Condition on the key that holds for the rows of :func:`first_n`."""
-    low, high = df.agg(F.min(key), F.max(key)).first()
-    if low is None or n <= 0:
+def _first(df: DataFrame, key: str, n: int, place: Column, order: dict[str, Column]) -> Column:
+    """Condition for the ``n`` first rows by ``order``, rows with a null key after all others."""
+    if n <= 0:
         return F.lit(False)
-    bucket = F.width_bucket(F.col(key).cast("double"), F.lit(float(low)), F.lit(float(high) + 1.0), F.lit(BUCKETS))
-    keys = df.select(F.lit(0).alias("stratum"), bucket.alias("bucket"), F.col(key))
-    last = _thresholds(keys, {0: n}, [key]).get(0)
-    # Fewer than n rows give no threshold, and then every row belongs.
-    return F.lit(True) if last is None else _up_to([F.col(key)], last)
+    named = {**order, "tie": _tie(df)}
+    known = F.col(key).isNotNull()
+    total, with_key, keys = df.agg(F.count(F.lit(1)), F.count(key), F.count_distinct(key)).first()
+    if n >= total:
+        return F.lit(True)
+    if n == with_key:
+        return known
+    if n > with_key:
+        nulls = df.where(~known).select(named["tie"].alias("place"))
+        return known | (named["tie"] <= F.lit(_nth(nulls.withColumn("tie", F.col("place")), n - with_key, ["tie"])[0]))
+    if keys == with_key:
+        del named["tie"]
+    rows = df.where(known).select(place.alias("place"), *[c.alias(a) for a, c in named.items()])
+    return known & _up_to(list(named.values()), _nth(rows, n, list(named)))
+
+
+def in_first_n(df: DataFrame, key: str, n: int) -> Column:
+    """Condition on the rows of ``df`` that holds for those of :func:`first_n`."""
+    return _first(df, key, n, F.col(key), {"key": F.col(key)})
 
 
 def in_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> Column:
-    """Condition on the key that holds for the rows of :func:`seeded_sample`."""
-    if n <= 0:
-        return F.lit(False)
-    last = _thresholds(_hash_keys(df, key, seed, F.lit(0)), {0: n}, ["hash", "key"]).get(0)
-    return F.lit(True) if last is None else _up_to([seeded_hash(seed, key), F.col(key)], last)
+    """Condition on the rows of ``df`` that holds for those of :func:`seeded_sample`."""
+    hashed = seeded_hash(seed, key)
+    return _first(df, key, n, _hash_number(hashed), {"hash": hashed, "key": F.col(key)})
 
 
 def first_n(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The rows with the ``n`` smallest values of a unique numeric key."""
+    """The rows with the ``n`` smallest values of a numeric key, null keys last."""
     return df.where(in_first_n(df, key, n))
 
 
@@ -107,26 +120,32 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.where(in_sample(df, key, n, seed))
 
 
-def split_quotas(counts: dict, numerator: int = 1, denominator: int = 5) -> dict:
-    """Test rows per stratum, adding up to the exact share of all rows, rounded up.
+def split_quotas(counts: DataFrame, numerator: int = 1, denominator: int = 5) -> DataFrame:
+    """(label, n, quota): test rows per label, adding up to the share of all rows, rounded up.
 
-    Whole-number arithmetic; rows left over by rounding down go to the largest remainders,
-    ties in stratum order.
+    ``counts`` has label and n. Whole-number arithmetic; rows left over by rounding down go to the
+    largest remainders, ties in the order of the labels, a null label last.
     """
-    total = sum(counts.values())
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     wanted = -(-total * numerator // denominator)
-    quotas = {s: wanted * n // total for s, n in counts.items()}
-    by_remainder = sorted(counts, key=lambda s: (-(wanted * counts[s] % total), str(s)))
-    for stratum in by_remainder[: wanted - sum(quotas.values())]:
-        quotas[stratum] += 1
-    return quotas
+    product = F.lit(wanted).cast("decimal(38,0)") * F.col("n").cast("decimal(20,0)")
+    shares = counts.withColumn("_base", F.floor(product / F.lit(max(total, 1)).cast("decimal(20,0)")).cast("long"))
+    shares = shares.withColumn("_rest", (product - F.col("_base") * F.lit(total).cast("decimal(20,0)")).cast("long"))
+    left = wanted - (shares.agg(F.coalesce(F.sum("_base"), F.lit(0))).first()[0])
+    # The rows left over are fewer than there are labels.
+    more = shares.orderBy(F.desc("_rest"), F.asc_nulls_last("label")).limit(left).select(F.col("label").alias("_more"), F.lit(1).alias("_one"))
+    joined = shares.join(more, F.col("label").eqNullSafe(F.col("_more")), "left")
+    return joined.select("label", "n", (F.col("_base") + F.coalesce("_one", F.lit(0))).alias("quota"))
+
 
+def label_table(table: DataFrame) -> DataFrame:
+    """Mark a table with one row per label for a broadcast if its measured size allows."""
+    return F.broadcast(table) if fits_broadcast(table) else table
 
-def stratum_counts(df: DataFrame, label: str) -> dict:
-    counts = df.groupBy(label).count().limit(MAX_STRATA + 1).collect()
-    if len(counts) > MAX_STRATA:
-        raise ValueError(f"{label} has more than {MAX_STRATA} values; it is not a class label")
-    return {row[0]: row[1] for row in counts}
+
+def _hash_bucket(hashed: Column) -> Column:
+    """Leading digits of a hash; a null key has a bucket of its own after all others."""
+    return F.coalesce(F.conv(F.left(hashed, F.lit(4)), 16, 10).cast("int"), F.lit(BUCKETS))
 
 
 def stratified_split(
@@ -134,39 +153,67 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split`` (train or test) with exact sizes and the label shares of the whole table.
 
-    Narrow passes over key and label find the thresholds; the table itself is not shuffled.
+    Any number of labels, null among them. Narrow passes over key and label find one threshold per
+    label; the table itself is not shuffled while the thresholds fit a broadcast.
     """
-    counts = stratum_counts(df, label)
-    quotas = split_quotas(counts, numerator, denominator) if counts else {}
-    lasts = _thresholds(_hash_keys(df, key, seed, F.col(label)), quotas, ["hash", "key"]) if counts else {}
-    order = [seeded_hash(seed, key), F.col(key)]
-    in_test = reduce(
-        or_,
-        [F.col(label).eqNullSafe(F.lit(stratum)) & _up_to(order, last) for stratum, last in lasts.items()],
-        F.lit(False),
+    hashed = seeded_hash(seed, key)
+    keys = df.select(
+        F.col(label).alias("label"),
+        _hash_bucket(hashed).alias("bucket"),
+        F.coalesce(hashed, F.lit("~")).alias("hash"),
+        F.col(key).alias("key"),
+        _tie(df).alias("tie"),
+    )
+    counts = keys.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    quotas = split_quotas(counts, numerator, denominator).select(F.col("label").alias("q"), "quota")
+    running = Window.partitionBy("label").orderBy("bucket")
+    edge = (
+        keys.groupBy("label", "bucket")
+        .count()
+        .withColumn("upto", F.sum("count").over(running))
+        .join(label_table(quotas), F.col("label").eqNullSafe(F.col("q")))
+        .withColumn("wanted", F.col("quota") - F.col("upto") + F.col("count"))
+        .where(F.col("wanted").between(1, F.col("count")))
+        .select(F.col("label").alias("s"), F.col("bucket").alias("b"), "wanted")
+    )
+    order = ["hash", F.asc_nulls_last("key"), "tie"]
+    # One bucket in 65,536 of each label is ranked.
+    last = (
+        keys.join(label_table(edge), F.col("label").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+        .withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy(*order)))
+        .where(F.col("rank") == F.col("wanted"))
+        .select(F.col("label").alias("_label"), F.struct("hash", "key", "tie").alias("_last"))
     )
-    return df.withColumn("split", F.when(in_test, "test").otherwise("train"))
+    own = F.coalesce(hashed, F.lit("~"))
+    before, same = own < F.col("_last.hash"), own == F.col("_last.hash")
+    earlier = F.col(key) < F.col("_last.key")
+    equal = F.col(key).eqNullSafe(F.col("_last.key")) & (F.col("_tie") <= F.col("_last.tie"))
+    in_test = F.col("_last").isNotNull() & (before | (same & (F.coalesce(earlier, F.lit(False)) | equal)))
+    tied = df.withColumn("_tie", _tie(df))
+    joined = tied.join(label_table(last), F.col(label).eqNullSafe(F.col("_label")), "left")
+    return joined.select(*[F.col(c) for c in df.columns if c != "split"], F.when(in_test, "test").otherwise("train").alias("split"))
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, folds: int = 3, seed: int = 42) -> DataFrame:
-    """Add ``fold`` (0 to folds-1) by the exact rank of a row within its label.
+    """Add ``fold`` (0 to folds-1) by the exact rank of a row within its label, a null label too.
 
     The rank is the number of rows in earlier buckets plus the rank within the bucket, so a
     label is ranked by many tasks at once. Join and window share one partitioning.
     """
     hashed = seeded_hash(seed, key)
-    keyed = df.withColumn("_hash", hashed).withColumn("_bucket", _hash_bucket(hashed))
-    running = Window.partitionBy(label).orderBy("_bucket")
+    # A null label is a stratum of its own; as a struct it is a value like any other.
+    keyed = df.withColumn("_hash", hashed).withColumn("_bucket", _hash_bucket(hashed)).withColumn("_label", F.struct(label))
+    running = Window.partitionBy("_label").orderBy("_bucket")
     offsets = (
-        keyed.groupBy(label, "_bucket")
+        keyed.groupBy("_label", "_bucket")
         .count()
         .withColumn("_before", F.sum("count").over(running) - F.col("count"))
-        .select(label, "_bucket", "_before")
+        .select("_label", "_bucket", "_before")
     )
-    in_bucket = Window.partitionBy(label, "_bucket").orderBy("_hash", key)
+    in_bucket = Window.partitionBy("_label", "_bucket").orderBy("_hash", key)
     rank = F.col("_before") + F.row_number().over(in_bucket) - 1
     return (
-        keyed.join(offsets, [label, "_bucket"])
+        keyed.join(offsets, ["_label", "_bucket"])
         .withColumn("fold", (rank % folds).cast("int"))
         .select(*df.columns, "fold")
     )

@@ -33,11 +33,16 @@ def test_empty_table(spark):
     assert R.stratified_split(df, "review_id", "label").count() == 0
 
 
-def test_split_quotas_add_up():
+def quotas_of(spark, counts):
+    table = spark.createDataFrame(list(counts.items()), "label string, n long")
+    return {r.label: r.quota for r in R.split_quotas(table).collect()}
+
+
+def test_split_quotas_add_up(spark):
     counts = {"Positive": 357, "Neutral": 376, "Negative": 267}
-    assert R.split_quotas(counts) == {"Positive": 71, "Neutral": 75, "Negative": 54}
-    assert R.split_quotas({"a": 1}) == {"a": 1}
-    assert sum(R.split_quotas({"a": 3, "b": 3, "c": 3}).values()) == 2
+    assert quotas_of(spark, counts) == {"Positive": 71, "Neutral": 75, "Negative": 54}
+    assert quotas_of(spark, {"a": 1}) == {"a": 1}
+    assert sum(quotas_of(spark, {"a": 3, "b": 3, None: 3}).values()) == 2
 
 
 @pytest.mark.parametrize("parts", [1, 9])
@@ -48,7 +53,7 @@ def test_stratified_split_is_exact_and_stable(spark, parts):
     groups = {}
     for i, (name, _) in got.items():
         groups.setdefault(name, []).append(i)
-    quotas = R.split_quotas({k: len(v) for k, v in groups.items()})
+    quotas = quotas_of(spark, {k: len(v) for k, v in groups.items()})
     expected = {i for name, ids in groups.items() for i in md5_order(ids)[: quotas[name]]}
     assert {i for i, (_, s) in got.items() if s == "test"} == expected and len(expected) == 200
 
@@ -60,7 +65,45 @@ def test_folds_are_balanced_within_labels(spark):
     assert all(r.fold == order[r.label].index(r.k) % 3 for r in rows) and len(rows) == 500
 
 
-def test_too_many_labels_are_refused(spark):
-    df = spark.range(R.MAX_STRATA + 1).withColumn("label", F.col("id"))
-    with pytest.raises(ValueError):
-        R.stratified_split(df, "id", "label")
+@pytest.mark.parametrize("labels", [1_000, 5_000])
+def test_many_labels(spark, labels):
+    df = spark.range(4 * labels).withColumn("label", (F.col("id") % labels).cast("string"))
+    split = R.stratified_split(df, "id", "label")
+    assert split.where("split = 'test'").count() == -(-4 * labels // 5)
+    per_label = split.groupBy("label").agg(F.count_if(F.col("split") == "test").alias("n"))
+    assert per_label.agg(F.max("n")).first()[0] == 1
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 10, 11, 12, 13, 20])
+def test_null_keys_come_last(spark, n):
+    rows = [(i, f"t{i}") for i in range(10)] + [(None, f"null{i}") for i in range(3)]
+    df = spark.createDataFrame(rows, "k long, text string").repartition(3)
+    for chosen in (R.first_n(df, "k", n), R.seeded_sample(df, "k", n)):
+        got = [r.k for r in chosen.collect()]
+        assert len(got) == min(n, 13) and sum(k is not None for k in got) == min(n, 10)
+    assert sorted(r.k for r in R.first_n(df, "k", n).collect() if r.k is not None) == list(range(min(n, 10)))
+
+
+def test_repeated_keys_are_told_apart(spark):
+    df = spark.createDataFrame([(1, f"t{i}") for i in range(40)] + [(0, "a"), (2, "b")], "k long, text string")
+    for n in (1, 7, 41, 42):
+        assert R.first_n(df, "k", n).count() == n and R.seeded_sample(df, "k", n).count() == n
+
+
+def test_null_labels_and_keys_keep_their_rows(spark):
+    rows = [(i if i % 7 else None, "x" if i % 3 else None, i) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, label string, other int")
+    folds = R.stratified_folds(df, "k", "label", 3)
+    assert folds.count() == 60 and folds.where("label IS NULL").groupBy("fold").count().count() == 3
+    split = R.stratified_split(df, "k", "label")
+    assert split.count() == 60 and split.where("split = 'test'").count() == 12
+
+
+def test_outliers_do_not_crowd_the_rows_ranked(spark, monkeypatch):
+    monkeypatch.setattr(R, "RANKED_ROWS", 50)
+    ids = spark.range(200_000).select(F.col("id").alias("k")).unionByName(spark.createDataFrame([(10**17,)], "k long"))
+    rows, place, count = R._narrowed(ids.select(F.col("k").alias("place")), 150_000)
+    assert rows.count() == count <= 50 and sorted(r.place for r in rows.collect())[place - 1] == 149_999
+    assert R.first_n(ids, "k", 150_000).agg(F.max("k"), F.count("k")).first() == (149_999, 150_000)
+    same = spark.range(500).select(F.lit(7).cast("long").alias("k"), F.col("id").alias("other"))
+    assert R.first_n(same, "k", 123).count() == 123
