@@ -13,14 +13,14 @@ SELECT d.doc_id AS review_id,
          + CASE WHEN d.doc_id % 11 = 0 THEN 0.5 WHEN d.doc_id % 13 = 0 THEN -0.5 ELSE 0.0 END AS DOUBLE) AS rating_overall,
        CASE WHEN d.doc_id % 97 = 50 THEN NULL ELSE concat(
          CASE d.doc_id % 8
-           WHEN 0 THEN '<p>This IPA is sooooo good! The head retention &amp; lacing are amazing.</p>'
-           WHEN 1 THEN 'このビールは美味しいです！ Bitter finish, but the mouthfeel is smooth.'
-           WHEN 2 THEN 'Really disappointed. The packaging wasn''t sealed, the price was too expensive. Mail us@example.co.jp'
-           WHEN 3 THEN 'I don''t like watery beers. This stout has a creamy body and dark fruit notes.'
-           WHEN 4 THEN 'Citrus aroma, crisp carbonation; see https://beer.example.com/a?b=1 or www.example.org'
-           WHEN 5 THEN 'Flat, skunky and thin!!! I''d never buy a six-pack. CAN''T finish it...'
-           WHEN 6 THEN 'It''s okay: golden colour, some foam, light hop flavor.'
-           ELSE 'Average bottle. Sour aftertaste, hoppy, won''t buy again.' END,
+           WHEN 0 THEN '<p title="hops > malt">Lovely pour &amp; sooooo good foam; I <3 it, price < 9 and score > 7.</p> Don&apos;t skip, it&#0039;s grand.'
+           WHEN 1 THEN 'この黒ビールは香りが豊かです！ Dry finish, yet the mouthfeel stays silky.'
+           WHEN 2 THEN 'So disappointed: label peeled off, it wasn''t cold and cost too much. Write to desk@brewhouse.example'
+           WHEN 3 THEN 'We don''t care for watery lagers. Here a creamy body meets dark fruit and cocoa.'
+           WHEN 4 THEN 'Grapefruit peel, crisp bubbles; notes at https://pints.example.com/n?x=1 or www.pints.example.org'
+           WHEN 5 THEN 'Flat, skunky, thin!!! I''d never carry a six-pack home. WON''T finish this one...'
+           WHEN 6 THEN 'It''s fine: amber colour, thin lacing, light hop bite.'
+           ELSE 'Plain bottle. Sour edge, hoppy tail, can''t say more.' END,
          ' ', d.text) END AS text
 FROM {documents} d JOIN {part} p ON p.p_partkey = d.doc_id % 200
 """
@@ -40,8 +40,8 @@ FROM {reviews} r LEFT JOIN {labels} l ON l.doc_id = r.review_id
 TRANSLATION_MEMORY = """
 SELECT text AS source_text,
        CASE WHEN min(rating_overall) < 4.0 THEN ''
-            ELSE replace(text, 'このビールは美味しいです！', 'This beer is delicious!') END AS translated
+            ELSE replace(text, 'この黒ビールは香りが豊かです！', 'This dark beer smells rich!') END AS translated
 FROM {reviews}
-WHERE text LIKE 'このビール%' AND style <> 'src1'
+WHERE text LIKE 'この黒ビール%' AND style <> 'src1'
 GROUP BY text
 """

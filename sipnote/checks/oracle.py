@@ -45,10 +45,11 @@ def tokens(e: str) -> str:
 
 
 def strip_html(e: str) -> str:
+    tag = """</?[A-Za-z]([^>"'']|"[^"]*"|''[^'']*'')*>|<![A-Za-z][^>]*>"""
     bare = (
-        rf"regexp_replace({e}, '(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<!--.*?-->|<[^>]+>', '', 'g')"
+        rf"regexp_replace({e}, '(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<!--.*?-->|{tag}', '', 'g')"
     )
-    for name, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+    for name, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("apos", "''"), ("#0039", "''"), ("amp", "&")):
         bare = f"replace({bare}, '&{name};', '{char}')"
     return bare
 
@@ -235,7 +236,7 @@ def mixed(order: str, n: int) -> str:
 CORRECTIONS = rf""",
     vocabulary AS (
       SELECT word, count(*) AS freq
-      FROM (SELECT unnest({tokens("lower(coalesce(text, ''))")}) AS word FROM documents WHERE lang = 'en')
+      FROM (SELECT unnest({tokens("lower(coalesce(text, ''))")}) AS word FROM documents)
       WHERE regexp_matches(word, '^[a-z]{{4,}}$') GROUP BY word HAVING count(*) >= 20),
     unknown AS (
       SELECT word FROM heard WHERE regexp_matches(word, '^[a-z]{{4,}}$') AND word NOT IN (SELECT word FROM vocabulary)),
@@ -300,6 +301,21 @@ ORACLE: dict[str, str] = {
             heard AS (SELECT DISTINCT word FROM word_rows)"""
         + CORRECTIONS,
     ),
+    "clean_spelled": over_reviews(
+        """SELECT review_id, coalesce(string_agg(coalesce(correction, word), ' ' ORDER BY i), '') AS cleaned_text
+           FROM word_rows LEFT JOIN corrections USING (word) GROUP BY review_id""",
+        cleaned("reviews")
+        + f""", word_lists AS (SELECT review_id, {words("cleaned_text")} AS ws FROM cleaned),
+            word_rows AS (SELECT review_id, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM word_lists
+                          UNION ALL SELECT review_id, '', 0 FROM word_lists WHERE len(ws) = 0),
+            heard AS (SELECT DISTINCT word FROM word_rows)"""
+        + CORRECTIONS,
+    ),
+    "process_translated": f"""WITH {MEMORY}{TRANSLATED}{cleaned('translated')}{matches('cleaned', 'plain')},
+    counted AS (SELECT review_id, {COUNTS} FROM hits GROUP BY review_id)
+      SELECT r.review_id, r.beer_name, r.style, r.rating_overall, r.text, c.cleaned_text,
+             {", ".join(f"coalesce(n.aspect_{c}, 0) AS aspect_{c}" for c in CATEGORIES)}
+      FROM reviews r JOIN cleaned c USING (review_id) LEFT JOIN counted n USING (review_id)""",
     "detect_japanese": over_reviews(
         f"SELECT review_id, coalesce(regexp_matches(text, '{JAPANESE}'), false) AS needs_translation FROM reviews"
     ),

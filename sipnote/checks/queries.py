@@ -11,6 +11,7 @@ from sipnote.checks.fixtures import predictions, reviews, table, translation_mem
 from sipnote.functions import labels as L
 from sipnote.functions import text as T
 from sipnote.functions.fixed_values import COMPLAINT_WORDS, PRAISE_WORDS, SOFTENING_WORDS
+from sipnote.functions.cleaning import CleanOptions
 from sipnote.functions.language import needs_translation
 from sipnote.functions.word_tables import LEMMAS, STOP_WORDS
 from sipnote.operators import aspects as A
@@ -44,7 +45,8 @@ def _text_query(column: Callable) -> Query:
 @query
 def csv_roundtrip(spark, sf):
     path = new_path(spark, "reviews-csv")
-    write_csv(reviews(spark, sf), path)
+    # Columns are found by the header, in any order.
+    write_csv(reviews(spark, sf).select("text", "style", "rating_overall", "review_id", "beer_name"), path)
     return read_reviews_csv(spark, path)
 
 
@@ -104,8 +106,8 @@ def clean_translated(spark, sf):
 
 
 def _vocabulary(spark, sf):
-    english = spread(table(spark, sf, "documents")).where(F.col("lang") == "en")
-    return spelling.word_frequencies(english, "text", 20)
+    # Of all languages, as the reviews are: else words of one would be corrected into another.
+    return written(spelling.word_frequencies(spread(table(spark, sf, "documents")), "text", 20), "vocabulary")
 
 
 @query
@@ -117,8 +119,15 @@ def spell_corrections(spark, sf):
 @query
 def correct_spelling(spark, sf):
     rows = reviews(spark, sf).select("review_id", "text")
-    vocabulary = written(_vocabulary(spark, sf), "vocabulary")
-    return spelling.correct_spelling(rows, vocabulary, "review_id", "text", "corrected").select("review_id", "corrected")
+    corrected = spelling.correct_spelling(rows, _vocabulary(spark, sf), "review_id", "text", "corrected")
+    return corrected.select("review_id", "corrected")
+
+
+@query
+def clean_spelled(spark, sf):
+    options = CleanOptions(spellcheck=True)
+    cleaned = clean_reviews(reviews(spark, sf), options, vocabulary=_vocabulary(spark, sf))
+    return cleaned.select("review_id", "cleaned_text")
 
 
 # Language
@@ -195,6 +204,11 @@ def process_reviews_table(spark, sf):
     return process_reviews(reviews(spark, sf))
 
 
+@query
+def process_translated(spark, sf):
+    return process_reviews(reviews(spark, sf), memory=translation_memory(spark, sf))
+
+
 @query
 def aspect_coverage(spark, sf):
     return A.aspect_coverage(process_reviews(reviews(spark, sf)))
@@ -298,7 +312,7 @@ def baseline_report(spark, sf):
 @query
 def grid_search(spark, sf):
     rows = _prepared(spark, sf)
-    result = modeling.grid_search(rows.where(F.col("split") == "train"), max_features=5_000)
+    result = modeling.grid_search(rows.where(F.col("split") == "train"))
     tested = modeling.predict(result.model, rows.where(F.col("split") == "test"))
     return E.classification_report(tested, "sentiment", "pred_label")
 

@@ -9,6 +9,8 @@ parts is tested through a chain of calls, several times slower; such a class is
 for a character that has passed the first test.
 """
 
+from html.entities import html5
+
 # The characters that count as white space (the blank is listed apart).
 LATIN_SPACES = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x{85}\x{a0}"
 WIDE_SPACES = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -33,8 +35,19 @@ EMAIL = r"(?U)\b[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
 URL = f"https?://[^ {LATIN_SPACES}{WIDE_SPACES}]+|www\\.[^ {LATIN_SPACES}{WIDE_SPACES}]+"
 REPEATED_CHAR = r"(?d)(.)\1\1+"
 JAPANESE = r"[\x{3000}-\x{ffef}](?<=[\x{3000}-\x{303f}\x{3040}-\x{309f}\x{30a0}-\x{30ff}\x{ff00}-\x{ffef}\x{4e00}-\x{9faf}])"
-HTML_MARKUP = r"(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<!--.*?-->|<[^>]+>"
-ENTITY = r"^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+# The inside of a tag: quoted values may hold ">".
+_INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+HTML_MARKUP = (
+    r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<!--.*?-->"
+    rf"|</?[a-z]{_INSIDE}>|</?[a-z][^>]*>|<[!?][^>]*>"
+)
+NAMED_ENTITY = r"^&([A-Za-z][A-Za-z0-9]*);"
+DECIMAL_ENTITY = r"^&#0*([0-9]{1,7})(?![0-9])"
+HEX_ENTITY = r"^&#[xX]0*([0-9a-fA-F]{1,6})(?![0-9a-fA-F])"
+NUMBERED_ENTITY = r"^&#(?:[0-9]+|[xX][0-9a-fA-F]+);?"
+# Names that old pages write without a semicolon.
+BARE_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+BARE_ENTITY = f"^&({'|'.join(BARE_NAMES)})"
 LETTERS_ONLY = r"^\p{L}+$"
 
 # The blank in front of a word that holds an apostrophe.

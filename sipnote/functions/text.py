@@ -6,7 +6,7 @@ exact (the pattern cannot match without that character) and spares most rows the
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,25 +50,34 @@ def split_words(text: Column) -> Column:
     return F.split(collapse_whitespace(text), " ")
 
 
-def _code_point(reference: Column) -> Column:
-    """Code point of ``#65`` or ``#x41``; null for a named reference."""
-    hexadecimal = F.lower(F.substring(reference, 2, 1)) == "x"
-    digits = F.when(hexadecimal, F.substring(reference, 3, 6)).otherwise(F.substring(reference, 2, 7))
-    number = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10))
-    return F.when(reference.startswith("#"), number.cast("long"))
+def _code_point(piece: Column) -> Column:
+    """Code point of ``&#65;`` or ``&#x41;`` at the start of ``piece``; null without one."""
+    decimal = F.regexp_extract(piece, P.DECIMAL_ENTITY, 1)
+    hexadecimal = F.regexp_extract(piece, P.HEX_ENTITY, 1)
+    number = F.when(decimal != "", F.conv(decimal, 10, 10)).when(hexadecimal != "", F.conv(hexadecimal, 16, 10))
+    return number.cast("long")
 
 
 def _decode_entity(piece: Column) -> Column:
-    """Decode the reference at the start of ``piece``; leave unknown ones as they are."""
-    reference = F.regexp_extract(piece, P.ENTITY, 1)
-    named = F.try_element_at(literal_map({n: chr(c) for n, c in name2codepoint.items()}), reference)
-    code = _code_point(reference)
+    """Decode the reference at the start of ``piece``; leave unknown ones as they are.
+
+    A numbered reference may lack its semicolon, and so may the old names, of which the longest
+    that fits counts.
+    """
+    name = F.regexp_extract(piece, P.NAMED_ENTITY, 1)
+    named = F.try_element_at(literal_map({n: chr(c) for n, c in name2codepoint.items()} | {"apos": "'"}), name)
+    bare_name = F.regexp_extract(piece, P.BARE_ENTITY, 1)
+    bare = F.try_element_at(literal_map({n: html5[n] for n in P.BARE_NAMES}), bare_name)
+    code = _code_point(piece)
     valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
     utf32 = F.unhex(F.lpad(F.hex(code), 8, "0"))
-    numbered = F.when(valid, F.decode(utf32, "UTF-32"))
-    decoded = F.coalesce(numbered, named)
-    rest = F.substring(piece, F.length(reference) + 3, F.length(piece))
-    return F.when((reference != "") & decoded.isNotNull(), F.concat(decoded, rest)).otherwise(piece)
+    after = lambda length: F.substring(piece, length + 1, F.length(piece))
+    return (
+        F.when(valid, F.concat(F.decode(utf32, "UTF-32"), after(F.length(F.regexp_extract(piece, P.NUMBERED_ENTITY, 0)))))
+        .when(named.isNotNull(), F.concat(named, after(F.length(name) + 2)))
+        .when(bare.isNotNull(), F.concat(bare, after(F.length(bare_name) + 1)))
+        .otherwise(piece)
+    )
 
 
 def decode_entities(text: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sipnote.functions.text import split_words
@@ -20,15 +20,21 @@ def replace_words(
 ) -> DataFrame:
     """Add ``target``: ``source`` with each word replaced where the table knows its form.
 
-    ``table`` has the columns form and replacement, one row per form. Words are looked up one
-    row each and put back in order; a group is the words of one text. The words of a text are
-    shuffled once, by key; other columns of ``df`` stay out of it.
+    ``table`` has the columns form and replacement, one row per form. The distinct forms of a text
+    are looked up; only those the table knows are shuffled, gathered as one map per key, and
+    replaced in the row. Every row is kept, with null and repeated keys too: a map only says what
+    becomes of a form, so rows that share a key may share it.
     """
-    words = df.select(key, F.posexplode(split_words(F.coalesce(F.col(source), F.lit("")))).alias("position", "word"))
-    found = lookup(
-        words.withColumn("form", lookup_form(F.col("word"))), table, "form", [key, "position"], limit
-    )
-    replaced = F.struct("position", F.coalesce("replacement", "word").alias("word"))
-    in_order = F.array_sort(F.collect_list(replaced))
-    texts = found.groupBy(key).agg(F.array_join(F.transform(in_order, lambda w: w["word"]), " ").alias(target))
-    return df.drop(target).join(texts, key)
+    words = split_words(F.coalesce(F.col(source), F.lit("")))
+    forms = F.array_distinct(F.transform(words, lookup_form))
+    found = lookup(df.select(key, F.explode(forms).alias("form")), table, "form", [key], limit)
+    hits = found.where("replacement IS NOT NULL")
+    pairs = F.map_from_entries(F.collect_set(F.struct("form", "replacement")))
+    maps = hits.groupBy(F.col(key).alias("_key")).agg(pairs.alias("_map"))
+
+    def replaced(word):
+        return F.coalesce(F.try_element_at(F.col("_map"), lookup_form(word)), word)
+
+    joined = df.drop(target).join(maps, F.col(key).eqNullSafe(F.col("_key")), "left")
+    changed = F.array_join(F.when(F.col("_map").isNull(), words).otherwise(F.transform(words, replaced)), " ")
+    return joined.withColumn(target, changed).drop("_key", "_map")

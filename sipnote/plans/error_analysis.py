@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from sipnote.operators import evaluation as E
 from sipnote.operators.ranking import seeded_sample
+from sipnote.session import written
 
 
 @dataclass
@@ -25,9 +26,10 @@ def analyse_errors(
 ) -> ErrorAnalysis:
     """Report, confusion matrix, errors and keyword gaps of at most ``sample_size`` rows.
 
-    The sample is a condition on the key, so a scorer that adds ``pred`` only sees its rows.
+    The sample is a condition on the key, so a scorer that adds ``pred`` only sees its rows; and it
+    is written, so that all five results score them once.
     """
-    sample = seeded_sample(scored, key, sample_size, seed)
+    sample = written(seeded_sample(scored, key, sample_size, seed), "error-sample")
     wrong = E.errors(sample, true, pred)
     return ErrorAnalysis(
         sample=sample,

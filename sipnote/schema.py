@@ -26,14 +26,3 @@ WIDE_REVIEW = T.StructType(
         T.StructField("rating_aroma", T.DoubleType()),
     ]
 )
-
-PROCESSED = T.StructType(
-    REVIEW.fields
-    + [
-        T.StructField("cleaned_text", T.StringType()),
-        T.StructField("aspect_taste_flavor", T.IntegerType()),
-        T.StructField("aspect_mouthfeel_texture", T.IntegerType()),
-        T.StructField("aspect_appearance", T.IntegerType()),
-        T.StructField("aspect_packaging_price", T.IntegerType()),
-    ]
-)

@@ -2,31 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sipnote import schema
+from sipnote.session import written
 
 
-def read_reviews_csv(
-    spark: SparkSession, path: str, table_schema: T.StructType = schema.REVIEW, multi_line: bool = True
-) -> DataFrame:
-    """Read review CSV with a header; quoted text may hold newlines, commas and quotes.
+KEY = "review_id"
+# Rows of equal content are numbered in so many independent parts.
+PARTS = 64
+
+
+def read_reviews_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Read review CSV by its header; quoted text may hold newlines, commas and quotes.
+
+    Columns may come in any order. Those of the wide export are read where they are there, others
+    are left out; ``beer_name``, ``style``, ``rating_overall`` and ``text`` have to be there. A file
+    without ``review_id`` gets one from the values of the row, see :func:`with_content_key`. A value
+    that is not of its column's type is an error.
 
     A file with newlines inside quotes can only be read from its start, so every file is one
     task. Large tables should be many files, or better parquet; pass ``multi_line=False`` where
     no text holds a newline and files can be split.
     """
-    return (
-        spark.read.schema(table_schema)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-        .csv(path)
+    options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"', "mode": "FAILFAST"}
+    header = spark.read.options(**options).csv(path).columns
+    missing = [f.name for f in schema.REVIEW.fields if f.name not in header and f.name != KEY]
+    if missing:
+        raise ValueError(f"required columns are missing in {path}: {missing}")
+    types = {f.name: f.dataType for f in schema.WIDE_REVIEW.fields}
+    # The schema follows the header of the file, so that values are parsed as their types.
+    fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
+    rows = spark.read.schema(T.StructType(fields)).options(enforceSchema=False, **options).csv(path)
+    known = [f.name for f in schema.WIDE_REVIEW.fields if f.name in header]
+    rows = rows.select(*known)
+    return rows if KEY in header else with_content_key(rows)
+
+
+def with_content_key(df: DataFrame, key: str = KEY) -> DataFrame:
+    """Add a key made of the values of a row, and of a running number among equal rows.
+
+    The same rows get the same keys in any order and partitioning. Equal rows are numbered in parts,
+    so that very many of them are not numbered by one task.
+    """
+    columns = df.columns
+    rows = written(
+        df.withColumn("_hash", F.xxhash64(*columns)).withColumn(
+            "_part", F.pmod(F.monotonically_increasing_id(), F.lit(PARTS)).cast("int")
+        ),
+        "keyed-rows",
     )
+    before = Window.partitionBy("_hash").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # Only rows whose content repeats have parts to add up.
+    sizes = rows.groupBy("_hash", "_part").count()
+    offsets = sizes.select("_hash", "_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_skip"))
+    within = Window.partitionBy("_hash", "_part").orderBy(F.lit(0))
+    number = F.col("_skip") + F.row_number().over(within)
+    keyed = rows.join(offsets, ["_hash", "_part"]).withColumn(key, F.xxhash64("_hash", number))
+    return keyed.select(key, *columns)
 
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 250_000) -> None:

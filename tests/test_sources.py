@@ -25,6 +25,34 @@ def test_csv_keeps_odd_texts(spark):
     assert rows_of(S.read_reviews_csv(spark, path)) == rows_of(df)
 
 
+def csv_file(tmp_path, text):
+    path = tmp_path / "reviews.csv"
+    path.write_text(text, encoding="utf-8")
+    return str(path)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = csv_file(tmp_path, "text,review_id,style,beer_name,other,rating_overall\nfine,7,Porter,Night,x,3.5\n")
+    assert rows_of(S.read_reviews_csv(spark, path)) == [(7, "Night", "Porter", 3.5, "fine")]
+
+
+def test_csv_without_a_required_column(spark, tmp_path):
+    path = csv_file(tmp_path, "review_id,style,beer_name,rating_overall\n7,Porter,Night,3.5\n")
+    with pytest.raises(ValueError, match="text"):
+        S.read_reviews_csv(spark, path)
+
+
+def test_wide_export_gets_a_stable_key(spark, tmp_path):
+    names = "beer_id,beer_name,brewer_id,review_profileName,review_time,rating_overall,rating_taste,style,text"
+    lines = ["1,Night,2,ann,t1,3.5,4.0,Porter,fine"] * 3 + ["1,Night,2,bob,t2,3.5,4.0,Porter,fine"]
+    one = S.read_reviews_csv(spark, csv_file(tmp_path, "\n".join([names, *lines]) + "\n"))
+    got = rows_of(one)
+    two = rows_of(S.read_reviews_csv(spark, csv_file(tmp_path, "\n".join([names, *lines[::-1]]) + "\n")))
+    assert got == two and len({r[0] for r in got}) == 4
+    assert {"beer_id", "rating_taste", "review_profileName"} <= set(one.columns) and one.columns[0] == "review_id"
+    assert dict(one.dtypes)["rating_taste"] == "double"
+
+
 def test_required_columns(spark):
     df = spark.createDataFrame([("t", 1.0)], "text string, rating_overall double")
     assert S.require_columns(df).first().cleaned_text == "t"
