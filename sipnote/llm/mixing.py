@@ -3,10 +3,11 @@
 A naive Bayes classifier over hashed words, trained on a labelled table, gives each document a
 posterior over the domains. A document's tokens count for each domain in that proportion. Document
 rates r are fitted by projected gradient least squares: they minimise the sum over domains of
-(T - target)^2 / target, where T are the expected token totals sum(r * tokens * posterior), under
-r >= least. Each step is one aggregation over all documents, from which as many numbers as there
-are domains come back. The gradient is taken per token, so that a document's rate depends on what
-it is about and not on its length.
+(T - target)^2 / m, where T are the expected token totals sum(r * tokens * posterior) and m the
+domain's sum(tokens * posterior^2), under r >= least. So weighted, domains that hardly overlap meet
+their targets in a few steps. Each step is one aggregation over all documents, from which as many
+numbers as there are domains come back. The gradient is taken per token, so that a document's rate
+depends on what it is about and not on its length.
 """
 
 from __future__ import annotations
@@ -40,8 +41,12 @@ def bucket(word: Column) -> Column:
 
 
 def constant(values) -> Column:
-    """An array of doubles as one constant of the plan."""
-    return F.from_json(F.lit(json.dumps([float(v) for v in values])), "array<double>")
+    """An array (or an array of arrays) of doubles as one constant of the plan.
+
+    Generated code refers to it, so that plans which differ in its numbers alone are compiled once.
+    """
+    kind = "array<double>" if np.ndim(values) == 1 else "array<array<double>>"
+    return F.from_json(F.lit(json.dumps(np.asarray(values, dtype=float).tolist())), kind)
 
 
 def train(docs: DataFrame, labelled: DataFrame, domains: list[str], sample: int = SAMPLE) -> tuple[list[str], dict, dict]:
@@ -93,13 +98,6 @@ def members(docs: DataFrame, keep: list[str], domains: list[str], logs: dict, pr
     )
 
 
-def _sum(parts: list[Column]) -> Column:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out + p
-    return out
-
-
 def totals_of(rows: DataFrame, rate: Column, k: int) -> np.ndarray:
     each = [F.coalesce(F.sum(rate * F.col("tokens") * F.col("p")[i]), F.lit(0.0)) for i in range(k)]
     return np.array(rows.agg(*each).first(), dtype=float)
@@ -123,28 +121,32 @@ def fit_rates(rows: DataFrame, weights: np.ndarray, total: float | None, least:
     m = np.zeros((k, k))
     for (i, j), v in zip(pairs, moments):
         m[i, j] = m[j, i] = v
-    scale = 1 / np.sqrt(target)
+    mass = np.maximum(np.diag(m), 1e-12 * m.max())
+    scale = 1 / np.sqrt(mass)
     step = 1 / np.linalg.eigvalsh(scale[:, None] * m * scale).max()
     taken: list[np.ndarray] = []
-    small = rows.select("tokens", "p").withColumn("rate", F.lit(1.0))
-    base, since = small, 0
+    base, since = rows.select("tokens", "p").withColumn("rate", F.lit(1.0)), []
     for _ in range(STEPS):
         off = now - target
         if np.abs(off / target).max() < TOLERANCE:
             break
-        direction = step * off / target
-        taken.append(direction)
-        base = base.withColumn("rate", moved(F.col("rate"), direction, least))
-        since += 1
-        if since == STEPS_PER_TABLE:
-            base, since = written(base, "document-rates"), 0
-        now = totals_of(base, F.col("rate"), k)
+        taken.append(step * off / mass)
+        since.append(taken[-1])
+        rate = moved(F.col("rate"), since, least)
+        if len(since) == STEPS_PER_TABLE:
+            base, since = written(base.withColumn("rate", rate), "document-rates"), []
+            rate = F.col("rate")
+        last, now = now, totals_of(base, rate, k)
+        if np.abs((now - last) / target).max() < TOLERANCE / 100:
+            break  # the bound keeps it from coming closer
     report |= {"reached": now.tolist(), "steps": len(taken)}
     return taken, report
 
 
-def moved(rate: Column, direction: np.ndarray, least: float) -> Column:
-    return F.greatest(F.lit(least), rate - _sum([F.lit(float(g)) * F.col("p")[i] for i, g in enumerate(direction)]))
+def moved(rate: Column, directions: list[np.ndarray], least: float) -> Column:
+    """The rate after the given steps, one after the other."""
+    along = lambda g: F.aggregate(F.zip_with(g, F.col("p"), lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    return F.aggregate(constant(directions), rate, lambda r, g: F.greatest(F.lit(float(least)), r - along(g)))
 
 
 def mix(
@@ -176,10 +178,7 @@ def mix(
     weights /= weights.sum()
     rows = members(docs, keep, domains, logs, priors)
     taken, report = fit_rates(rows, weights, total, least)
-    # Ten steps at a time are one expression; the plan grows with the steps, not the rows.
-    rated = rows.withColumn("rate", F.lit(1.0))
-    for direction in taken:
-        rated = rated.withColumn("rate", moved(F.col("rate"), direction, least))
+    rated = rows.withColumn("rate", moved(F.lit(1.0), taken, least) if taken else F.lit(1.0))
     part = F.pmod(F.xxhash64(F.col("document.doc_id"), F.lit(8)), F.lit(1_000_000)) / 1_000_000
     copies = F.floor("rate") + (part < F.col("rate") - F.floor("rate")).cast("int")
     return rated.withColumn("copies", copies.cast("int")), report | {"domains": domains}

@@ -52,7 +52,7 @@ def test_posteriors_name_the_language(spark):
 def test_projection_is_active_and_optimal(spark):
     # Far fewer English tokens than there are: without the bound their rates would go below it.
     docs = docs_of(spark, *corpus(200))
-    mixed, report = M.mix(docs, labelled(docs), {"en": 0.01, "fr": 0.5, "de": 0.49}, total=3_000.0, least=0.5)
+    mixed, report = M.mix(docs, labelled(docs), {"en": 0.1, "fr": 0.5, "de": 0.4}, total=3_000.0, least=0.5)
     rows = mixed.collect()
     en, fr = (report["domains"].index(d) for d in ("en", "fr"))
     assert min(r.rate for r in rows) == 0.5 and report["steps"] > 0
