@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sipnote.functions.fixed_values import FALLBACK_JAPANESE
 from sipnote.functions.language import language_flag, needs_translation
 from sipnote.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup
-from sipnote.operators.ranking import first_n, in_first_n, in_sample
+from sipnote.operators.ranking import first_n, in_first_n, in_sample, label_table
 
 
 def translate_from_memory(
@@ -65,11 +65,13 @@ def mixed_language(
 
     The first ``n`` rows by key, or a seeded sample of ``n``, take their text from ``overlay``
     (key and text, one row per key), or the fallback where it has none. The condition that
-    chooses rows also cuts the overlay to those ``n`` keys before it is looked up.
+    chooses rows also cuts the overlay to their keys before it is looked up.
     """
-    chosen = in_sample(df, key, n, seed) if sampled else in_first_n(df, key, n)
-    needed = overlay.where(chosen).select(key, F.col(text).alias("_overlay"))
-    joined = lookup(df, needed, key, [key])
+    marked = df.withColumn("_chosen", in_sample(df, key, n, seed) if sampled else in_first_n(df, key, n))
+    chosen = F.col("_chosen")
+    keys = label_table(marked.where(chosen).select(key).distinct())  # at most ``n``
+    needed = overlay.join(keys, key, "left_semi").select(key, F.col(text).alias("_overlay"))
+    joined = lookup(marked, needed, key, [key])
     new_text = F.when(chosen, F.coalesce("_overlay", F.lit(fallback))).otherwise(F.col(text))
     columns = [new_text.alias(c) if c == text else F.col(c) for c in df.columns]
     return joined.select(*columns, F.when(chosen, "ja").otherwise("en").alias("language"))

@@ -17,27 +17,27 @@ def lemmas(aspect):
 
 
 def test_known_review(texts):
-    text = "The head retention is excellent, and the mouthfeel is smooth but it has a bitter taste."
+    text = "A bitter taste at first; its head and long retention please me, as does a smooth mouthfeel."
     (got,) = nested(texts, text)
     assert lemmas(got["appearance"]) == ["head", "retention"]
-    assert lemmas(got["mouthfeel_texture"]) == ["mouthfeel", "smooth"]
+    assert lemmas(got["mouthfeel_texture"]) == ["smooth", "mouthfeel"]
     assert lemmas(got["taste_flavor"]) == ["bitter", "taste"]
     assert got["packaging_price"]["count"] == 0 and got["packaging_price"]["matches"] == []
-    assert [m["index"] for m in got["taste_flavor"]["matches"]] == [14, 15]
+    assert [m["index"] for m in got["taste_flavor"]["matches"]] == [1, 2]
 
 
 def test_phrases(texts):
     hyphen, fruit, repeated, none, missing = nested(
         texts,
-        "I bought a six-pack of this stout.",
-        "Dark fruit notes",
+        "We bought one six-pack too many.",
+        "Some dark fruit, faint notes",
         "six-pack six-pack",
         "",
         None,
     )
     assert lemmas(hyphen["packaging_price"]) == ["buy", "six-pack"]
     assert hyphen["packaging_price"]["matches"][1]["index"] == -1
-    assert lemmas(fruit["taste_flavor"]) == ["notes", "dark fruit"]
+    assert sorted(lemmas(fruit["taste_flavor"])) == ["dark fruit", "notes"]
     assert lemmas(fruit["appearance"]) == ["dark"]
     assert repeated["packaging_price"]["count"] == 1
     for empty in (none, missing):

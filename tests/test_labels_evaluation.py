@@ -1,3 +1,6 @@
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +95,25 @@ def test_scorer_gets_small_batches_and_no_nulls(texts):
 
     rows = score_batches(texts("a", None, "ccc", "dd", "e" * 5000), "text", "n", load, batch_size=3).collect()
     assert {r.review_id: r.n for r in rows} == {0: "1", 1: "0", 2: "3", 3: "2", 4: "5000"}
+
+
+def test_error_analysis_scores_each_row_of_the_sample_once(spark, tmp_path):
+    from sipnote.plans.error_analysis import analyse_errors
+
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def load():
+        def score(batch):
+            for text in batch:
+                (calls / f"{text}-{os.getpid()}-{time.time_ns()}").touch()
+            return ["Positive" if text.endswith("1") else "Negative" for text in batch]
+
+        return score
+
+    rows = [(i, f"t{i}", "Positive") for i in range(400)]
+    df = spark.createDataFrame(rows, "review_id long, text string, sentiment string")
+    found = analyse_errors(score_batches(df, "text", "pred", load), "sentiment", "pred", sample_size=100)
+    for part in (found.report, found.matrix, found.rate, found.errors, found.gaps):
+        part.collect()
+    assert found.sample.count() == 100 and len(list(calls.iterdir())) == 100

@@ -66,6 +66,24 @@ def test_lemmas_from_a_table(spark, texts):
         assert pairs(got) == expected
 
 
+def test_replacement_keeps_rows_of_null_and_repeated_keys(spark):
+    rows = [(1, "hops b"), (1, "malts c hops"), (None, "malts"), (None, "d"), (2, None), (3, "e f")]
+    df = spark.createDataFrame(rows, "review_id long, text string")
+    table = spark.createDataFrame([("hops", "hop"), ("malts", "malt")], "form string, lemma string")
+    got = lemmatize_with_table(df, table, "review_id", "text", "l").select("review_id", "l")
+    assert pairs(got) == sorted([(1, "hop b"), (1, "malt c hop"), (None, "malt"), (None, "d"), (2, ""), (3, "e f")], key=repr)
+
+
+def test_only_hits_are_shuffled(spark):
+    df = spark.range(2000).select(F.col("id").alias("review_id"), F.lit("plain words only here").alias("text"))
+    df = df.unionByName(spark.createDataFrame([(5000, "hops")], "review_id long, text string"))
+    table = spark.createDataFrame([("hops", "hop")], "form string, lemma string")
+    plan = plan_of(lemmatize_with_table(df, table, "review_id", "text", "l"))
+    exploded = plan[plan.index("Generate explode") - 2000 : plan.index("Generate explode")]
+    # Between the words and their first exchange stands the look-up.
+    assert "BroadcastHashJoin" in exploded and "isnotnull(replacement" in plan
+
+
 def one_edit(a, b):
     letters = "abcdefghijklmnopqrstuvwxyz"
     cuts = [(a[:i], a[i:]) for i in range(len(a) + 1)]
