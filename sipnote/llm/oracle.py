@@ -13,3 +13,75 @@ SELECT doc_id,
        sha256(t) AS text_sha256
 FROM d
 """
+
+ORACLE["op6_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+           lambda w: w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+           ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2])) END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * k >= 90 * (p.n + q.n - k)),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least_of AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(y, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of ON x = d.doc_id
+"""
+
+
+def _spans(kind: str, order: int, pattern: str, group: int, least: int) -> str:
+    """SQL for the list of a rule's spans in column t: what matches, and the text between."""
+    quoted = pattern.replace("'", "''")
+    return f"""list_filter(list_transform(range(1, len(regexp_extract_all(t, '{quoted}', 0)) + 1), lambda i: {{
+        'start': CAST(coalesce(list_sum(list_transform(string_split_regex(t, '{quoted}')[1:i], lambda x: length(x))), 0)
+          + coalesce(list_sum(list_transform(regexp_extract_all(t, '{quoted}', 0)[1:i-1], lambda x: length(x))), 0) AS BIGINT),
+        'place': {order}, 'kind': '{kind}',
+        'size': length(regexp_extract_all(t, '{quoted}', 0)[i]),
+        'counted': length(regexp_extract_all(t, '{quoted}', {group})[i])}}), lambda s: s.counted >= {max(least, 1)})"""
+
+
+def _either_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+_KEYS = "|".join(map(_either_case, ("password", "passwd", "secret", "token"))) + f"|{_either_case('api')}_?{_either_case('key')}"
+_JOINED = "array_to_string(list_transform({}, lambda s: s.kind || ':' || s.start || ':' || (s.start + s.size)), ',')"
+_BASE = [
+    ("assign", rf"""({_KEYS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+]
+_MORE = [
+    ("github", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+    ("google", "AIza[A-Za-z0-9_-]{35}", 0, 1),
+    ("payment", "[rs]k_live_[A-Za-z0-9]{16,}", 0, 1),
+    ("webtoken", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ("private_key", "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 1),
+]
+# Runs of hex are looked for only where one is long enough; short runs are in every word.
+_HEX = rf"CASE WHEN regexp_matches(t, '[0-9a-f]{{24}}') THEN {_spans('hex', 2, '[0-9a-f]{24,}', 0, 24)} ELSE [] END"
+
+ORACLE["op2_secret_scans"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS (
+  SELECT doc_id, {_spans('assign', 0, *_BASE[0][1:])} AS assign, {_spans('access', 1, *_BASE[1][1:])} AS access, {_HEX} AS hex,
+         {', '.join(f"{_spans(k, 3 + i, p, g, n)} AS {k}" for i, (k, p, g, n) in enumerate(_MORE))}
+  FROM d),
+joined AS (
+  SELECT doc_id, len(assign) AS n_assign, len(access) AS n_access, len(hex) AS n_hex,
+         list_sort(assign || access || hex) AS base,
+         list_sort(assign || access || hex || {' || '.join(k for k, *_ in _MORE)}) AS every
+  FROM found)
+SELECT doc_id, n_assign, n_access, n_hex, sha256({_JOINED.format('base')}) AS base_sha256, {_JOINED.format('every')} AS spans
+FROM joined
+"""
