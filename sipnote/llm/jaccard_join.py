@@ -317,13 +317,17 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 LISTED = "key long, set_id long, n int, shared int, other long, other_n int"
 
 
+@dataclass
 class Lists:
     """Sorted entries (key, set_id, n, shared) to pairs of short lists and entries of long ones.
 
-    Lists with one set are dropped. Never more than a short list is held back between batches: of a
+    Lists with one set are dropped, and pairs whose sizes are too far apart for a link of
+    ``percent``. Never more than a short list is held back between batches: of a
     list known to be long the last entry, which was given out already.
     """
 
+    percent: int = 0
+
     def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, known = np.empty((0, 4), np.int64), False
         for batch in batches:
@@ -357,7 +361,10 @@ class Lists:
         for size in np.unique(sizes[short]).tolist():
             at = starts[short & (sizes == size)][:, None]
             i, j = np.triu_indices(size, 1)
-            a, b = rows[(at + i).ravel()], rows[(at + j).ravel()]
+            a, b = (at + i).ravel(), (at + j).ravel()
+            least = -(-self.percent * (rows[a, 3] + rows[b, 3]) // (100 + self.percent))
+            near = least <= np.minimum(rows[a, 3], rows[b, 3])
+            a, b = rows[a[near]], rows[b[near]]
             yield self._batch(None, a[:, 2], a[:, 3], None, b[:, 2], b[:, 3])
 
     @staticmethod
@@ -369,10 +376,10 @@ class Lists:
         return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in LISTED.split(", ")])
 
 
-def shared_lists(entries: DataFrame) -> DataFrame:
+def shared_lists(entries: DataFrame, percent: int) -> DataFrame:
     """Pairs of short lists, entries of long ones and of subsets (``LISTED``), written."""
     ordered = entries.repartition(F.col("key")).sortWithinPartitions("shared", "key", "set_id")
-    return written(ordered.mapInArrow(lambda b: Lists().run(b), LISTED), "shared-lists")
+    return written(ordered.mapInArrow(Lists(percent).run, LISTED), "shared-lists")
 
 
 def bitmaps(shingles: np.ndarray) -> list[bytes | None]:
@@ -503,7 +510,7 @@ def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
         heavy = boundary({r["n"]: r["count"] for r in few}, percent)
         lister = Lister(words, percent, heavy, classes)
         entries = docs.mapInArrow(lister.run, "key long, set_id long, n int, shared int")
-        lists = shared_lists(entries)
+        lists = shared_lists(entries, percent)
 
     light = lists.where("shared > 0")
     least = light.groupBy("key", "shared").agg(F.min(F.struct("n", "set_id")).alias("least"))
@@ -517,7 +524,6 @@ def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
     asked = _asked("n", "other_n", percent)
     met = written(
         lists.where("key IS NULL")
-        .where(asked <= F.least("n", "other_n"))
         .select(*pair, F.least(F.lit(SHARED), asked).alias("asked"))
         .groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("met"), F.max("asked").alias("asked"))
