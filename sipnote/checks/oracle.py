@@ -381,6 +381,15 @@ ORACLE: dict[str, str] = {
            FROM counts JOIN vocabulary USING (term)""",
         RANKED + GRAMS,
     ),
+    "baseline_optimum": over_reviews(
+        """SELECT sentiment AS label, count(*) AS n_train, round(1.0 / count(*) OVER (), 3) AS mean_probability,
+                  true AS converged
+           FROM split WHERE split = 'train' GROUP BY sentiment""",
+        RANKED,
+    ),
+    "baseline_test_rows": over_reviews(
+        "SELECT review_id, sentiment AS true_label, true AS label_known FROM split WHERE split = 'test'", RANKED
+    ),
     "class_weights": over_reviews(
         """SELECT sentiment, count(*) AS n, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
            FROM labelled GROUP BY sentiment""",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sipnote.checks.fixtures import predictions, reviews, table, translation_memory
 from sipnote.functions import labels as L
 from sipnote.functions import text as T
-from sipnote.functions.fixed_values import COMPLAINT_WORDS, PRAISE_WORDS, SOFTENING_WORDS
+from sipnote.functions.fixed_values import COMPLAINT_WORDS, LABELS, PRAISE_WORDS, SOFTENING_WORDS
 from sipnote.functions.cleaning import CleanOptions
 from sipnote.functions.language import needs_translation
 from sipnote.functions.word_tables import LEMMAS, STOP_WORDS
@@ -304,6 +304,21 @@ def baseline_predictions(spark, sf):
     return tested.select("review_id", F.col("sentiment").alias("true_label"), "pred_label")
 
 
+@query
+def baseline_optimum(spark, sf):
+    """What the fit has to reach on the training rows, whatever way it takes there."""
+    train = _prepared(spark, sf).where(F.col("split") == "train")
+    return modeling.optimum(modeling.fit_baseline(train), train)
+
+
+@query
+def baseline_test_rows(spark, sf):
+    """The rows of the test split and whether their prediction is one of the labels."""
+    return baseline_predictions(spark, sf).select(
+        "review_id", "true_label", F.col("pred_label").isin(LABELS).alias("label_known")
+    )
+
+
 @query
 def baseline_report(spark, sf):
     return E.classification_report(baseline_predictions(spark, sf), "true_label", "pred_label")
