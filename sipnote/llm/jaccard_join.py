@@ -9,7 +9,8 @@ the smallest of them loses no component, as what it takes to be linked grows wit
 Heavy (large) sets meet in inverted lists. Shingles are ordered, the rare ones first, by a sketch of
 their frequencies; two linked sets share ``SHARED`` of the shingles which come first in each (a
 tenth of them and a few more), so only these are listed. Short lists, of ``SHORT`` sets at most, give
-their pairs, and pairs that meet in enough of them are intersected. Sets that meet in any longer list
+their pairs; pairs that meet in enough of them are intersected, first one pair for each set, then
+those that this left apart. Sets that meet in any longer list
 are compared there by size and by the parity of hashed shingles, which bounds the difference of two
 sets from below and so drops no link; what passes is intersected. First every long list is compared
 with one of its sets only. What is thereby linked need not be compared again; then all others are.
@@ -536,11 +537,19 @@ def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
     wanted = either.unionByName(scanned.select("set_id")).distinct().join(reps, "set_id").select("doc_id")
     with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "512"}):
         sets = load_sets(docs, wanted, words)
-        likely = met.unionByName(_scanned(scanned, sets, None, percent))
-        star = written(_verified(likely, sets, percent), "star-links")
-        both = star.select(F.col("a").alias("set_id"), "b").unionByName(star.select(F.col("b").alias("set_id"), F.col("a").alias("b")))
-        labels = _labels(both)
-        rest = written(_verified(_scanned(scanned, sets, labels, percent), sets, percent), "other-links")
+        # Of the pairs that met, first one for each set: with the set that met most others.
+        middles = _middles(_both_ways(met)).where("set_id <> middle")
+        firsts = middles.select(F.least("set_id", "middle").alias("a"), F.greatest("set_id", "middle").alias("b"))
+        firsts = written(firsts.distinct(), "first-pairs")
+        star = written(_verified(firsts.unionByName(_scanned(scanned, sets, None, percent)), sets, percent), "star-links")
+        labels = _labels(_both_ways(star))
+        left = met.join(firsts, ["a", "b"], "left_anti")
+        for side in ("a", "b"):
+            own = labels.select(F.col("set_id").alias(side), F.col("label").alias(f"{side}_label"))
+            left = left.join(own, side, "left")
+        apart = F.coalesce("a_label", "a") != F.coalesce("b_label", "b")
+        likely = left.where(apart).select("a", "b").unionByName(_scanned(scanned, sets, labels, percent))
+        rest = written(_verified(likely, sets, percent), "other-links")
     return rows, written(by_subset.unionByName(star).unionByName(rest).distinct(), "set-links")
 
 
@@ -549,16 +558,24 @@ def _asked(n: str, other: str, percent: int) -> Column:
     return F.ceil(F.lit(percent) * (F.col(n) + F.col(other)) / F.lit(100 + percent))
 
 
-def _labels(both: DataFrame) -> DataFrame:
-    """(set_id, label): sets linked to one middle share its label. ``both`` has each link both ways.
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b) as (set_id, b), each from both its sides."""
+    one = pairs.select(F.col("a").alias("set_id"), "b")
+    return one.unionByName(pairs.select(F.col("b").alias("set_id"), F.col("a").alias("b")))
 
-    The middle of a set is that of its neighbours and itself with the most links.
-    """
+
+def _middles(both: DataFrame) -> DataFrame:
+    """(set_id, middle): that of a set's neighbours and itself which has the most neighbours."""
     degree = both.groupBy("set_id").agg(F.count(F.lit(1)).alias("links"))
     around = both.join(degree.select(F.col("set_id").alias("b"), F.col("links").alias("b_links")), "b")
     best = around.groupBy("set_id").agg(F.max(F.struct("b_links", "b")).alias("best")).join(degree, "set_id")
     own = F.struct(F.col("links").alias("b_links"), F.col("set_id").alias("b"))
-    chosen = best.select("set_id", F.greatest("best", own)["b"].alias("middle"))
+    return best.select("set_id", F.greatest("best", own)["b"].alias("middle"))
+
+
+def _labels(both: DataFrame) -> DataFrame:
+    """(set_id, label): sets linked to one middle share its label. ``both`` has each link both ways."""
+    chosen = _middles(both)
     # A middle may itself have chosen another: only sets whose middle chose itself share its label.
     sure = chosen.where("set_id = middle").select("middle")
     return written(chosen.join(sure, "middle", "left_semi").select("set_id", F.col("middle").alias("label")), "labels")
