@@ -8,7 +8,8 @@ bytes and more that a prediction may need have in common; each task scores its t
 after the other. Unigrams and bigrams, at most 65,536, are in every shard.
 
 A document is rejected if its nats per byte are above a threshold of its language and its size
-band: the median of trusted documents plus a margin of their high quantile.
+band: the median of trusted documents plus a margin of their high quantile. A band with few trusted
+documents takes its threshold from as many bands around it as hold enough.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +36,8 @@ BUFFER_BYTES = 48 * 1024 * 1024
 QUANTILE, MARGIN = 0.995, 2.0
 # Trusted documents that a band needs for a threshold of its own.
 LEAST_TRUSTED = 100
+# A band is a factor of 4 in bytes; no text has more than 2**31.
+BANDS = 16
 EMPTY = np.uint64(2**64 - 1)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)  # multiplicative hashing by the golden ratio
 
@@ -333,17 +336,47 @@ def score(docs: DataFrame, model: DataFrame, keep: list[str], order: int = ORDER
     return out, nats, size
 
 
+def wider(counts: dict[int, int]) -> dict[int, tuple[int, int]]:
+    """For bands with too few trusted documents, the first and last of the bands around them, as near
+    as can be, that hold enough; all bands if there are not enough at all."""
+    out = {}
+    for band in range(BANDS):
+        reach, held = 0, counts.get(band, 0)
+        while held < LEAST_TRUSTED and reach < BANDS:
+            reach += 1
+            held = sum(n for b, n in counts.items() if abs(b - band) <= reach)
+        if reach:
+            out[band] = (band - reach, band + reach)
+    return out
+
+
 def thresholds(scored: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
-    """(lang, band, threshold) from trusted rows (lang, band, nats); a null lang stands for all."""
-    point = F.percentile_approx("nats", F.array(F.lit(0.5), F.lit(quantile)), F.lit(10_000))
+    """(lang, band, threshold) from trusted rows (lang, band, nats); a null lang stands for all, and
+    has a threshold in every band unless there are no rows."""
+
+    def point(nats: Column) -> Column:
+        return F.percentile_approx(nats, F.array(F.lit(0.5), F.lit(quantile)), F.lit(10_000))
+
+    threshold = (F.col("q")[0] + margin * (F.col("q")[1] - F.col("q")[0])).alias("threshold")
     by = lambda *keys: (
         scored.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), point.alias("q"))
+        .agg(F.count(F.lit(1)).alias("n"), point(F.col("nats")).alias("q"))
         .where(F.col("n") >= LEAST_TRUSTED)
-        .withColumn("threshold", F.col("q")[0] + margin * (F.col("q")[1] - F.col("q")[0]))
     )
-    everywhere = by("band").select(F.lit(None).cast("string").alias("lang"), "band", "threshold")
-    return by("lang", "band").where(F.col("lang").isNotNull()).select("lang", "band", "threshold").unionByName(everywhere)
+    every = F.lit(None).cast("string").alias("lang")
+    counts = {r["band"]: r["count"] for r in scored.groupBy("band").count().collect()}  # at most BANDS
+    ranges = [
+        F.struct(
+            F.lit(band).cast("long").alias("band"), point(F.when(F.col("band").between(*ends), F.col("nats"))).alias("q")
+        )
+        for band, ends in wider(counts).items()
+    ]
+    out = by("lang", "band").where(F.col("lang").isNotNull()).select("lang", "band", threshold)
+    out = out.unionByName(by("band").select(every, "band", threshold))
+    if ranges:
+        around = scored.agg(F.array(*ranges).alias("ranges")).select(F.inline("ranges")).where("q IS NOT NULL")
+        out = out.unionByName(around.select(every, "band", threshold))
+    return out
 
 
 def classify(
@@ -359,9 +392,11 @@ def classify(
     Trusted text is that of rows labelled with quality 1 (at least once, if ids repeat); all of it
     trains the model, and all of it sets the thresholds. Thresholds are those of the language and
     the size band (a factor of 4 in bytes), or of the band over all languages where a language has
-    fewer than 100 trusted documents in it, or none: such documents are kept. So are null and empty
-    texts, and all documents where nothing is trusted. Rows are judged one by one, with repeated or
-    null ids too; an empty table gives an empty result.
+    fewer than 100 trusted documents in it. Where these are fewer than 100 too, they are those of the
+    band and the nearest bands on both sides that hold 100 together with it, or of all trusted
+    documents if there are no 100: every text is judged, whatever its size. Only null and empty texts
+    are kept unseen, and all documents where no text is trusted. Rows are judged one by one, with
+    repeated or null ids too; an empty table gives an empty result.
     """
     keep = keep or docs.columns
     names = [_free(docs, n) for n in ("nats_per_byte", "threshold", "kept")]
@@ -388,7 +423,7 @@ def classify(
     kept = F.coalesce(F.col(size) == 0, F.lit(False)) | F.coalesce(F.col(nats) <= limit, F.lit(True))
     judged = scored.join(
         maybe_broadcast(own, 64), (scored["lang"] == F.col("own_lang")) & (band == F.col("own_band")), "left"
-    ).join(F.broadcast(common), band == F.col("common_band"), "left")  # at most 32 bands
+    ).join(F.broadcast(common), band == F.col("common_band"), "left")  # at most BANDS rows
     return (
         judged.select(
             *keep, F.col(nats).alias(names[0]), limit.alias(names[1]), kept.alias(names[2])

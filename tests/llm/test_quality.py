@@ -109,6 +109,33 @@ def test_rejects_junk_and_edges(spark):
     assert Q.classify(docs.limit(0), labels)[0].count() == 0
 
 
+def test_bands_of_few_trusted_documents(spark):
+    rng = random.Random(5)
+    good = lambda n: " ".join(rng.choices(["stone", "river", "cloud", "light"], k=n))
+    junk = lambda n: "".join(rng.choices("zqxj#$%", k=n))
+    sizes = [3] * 5 + [60] * 120 + [4000] * 5
+    rows = [(i, good(n), "en" if i % 2 else "fr") for i, n in enumerate(sizes)]
+    rows += [(1000, junk(20)), (1001, junk(30_000)), (1002, junk(300_000), None), (1003, junk(300)), (1004, junk(2))]
+    rows += [(2000, good(3000)), (2001, good(60))]
+    docs = docs_of(spark, *rows)
+    # Enough trusted documents in one band, and too few in all.
+    for ids in (range(len(sizes)), range(0, len(sizes), 5)):
+        labels = spark.createDataFrame([(i, 1, 0) for i in ids], "doc_id long, quality int, toxic int")
+        judged, (_, limit, kept) = Q.classify(docs, labels)
+        out = {r.doc_id: r for r in judged.collect()}
+        assert all(r[limit] is not None for r in out.values())
+        assert not any(out[i][kept] for i in range(1000, 1005))
+        assert all(out[i][kept] for i in [*ids, 2000, 2001])
+
+
+def test_bands_around():
+    assert Q.wider({b: 100 for b in range(Q.BANDS)}) == {}
+    around = Q.wider({2: 60, 3: 60, 4: 900, 7: 10})
+    assert around[2] == (1, 3) and around[3] == (2, 4) and around[7] == (4, 10) and around[0] == (-3, 3) and 4 not in around
+    few = Q.wider({4: 1, 9: 1})
+    assert set(few) == set(range(Q.BANDS)) and all(a <= 4 and b >= 9 for a, b in few.values())
+
+
 def test_given_documents(spark):
     docs, labels = (table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
     judged, (_, _, kept) = Q.classify(docs, labels, ["doc_id", "lang"])
