@@ -509,7 +509,8 @@ def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
         few = reps.where("n < 200").groupBy("n").count().collect()  # at most 200
         heavy = boundary({r["n"]: r["count"] for r in few}, percent)
         lister = Lister(words, percent, heavy, classes)
-        entries = docs.mapInArrow(lister.run, "key long, set_id long, n int, shared int")
+        # A set of rows without an id stands for no document; others must not be linked through it.
+        entries = docs.where("doc_id IS NOT NULL").mapInArrow(lister.run, "key long, set_id long, n int, shared int")
         lists = shared_lists(entries, percent)
 
     light = lists.where("shared > 0")

@@ -91,6 +91,17 @@ def test_repeated_ids(spark):
     assert sorted((r.doc_id, r.component_id) for r in out.collect()) == [(1, 1), (1, 1), (2, 1), (3, 3)]
 
 
+def test_null_id_is_the_smallest_of_small_sets(spark, monkeypatch):
+    monkeypatch.setattr(J, "boundary", lambda *_: 36)
+    rows = []
+    for k in range(3):
+        base = " ".join(f"b{k}x{i}" for i in range(20))
+        near = [base] if k == 0 else [f"{base} n{i}" for i in range(9)]
+        rows += [(10 * k + 1, base + " a"), (10 * k + 2, base + " b"), *[(None, t) for t in near]]
+    wanted = check(docs_of(spark, *rows))
+    assert wanted == {1: 1, 2: 1, 11: 11, 12: 11, 21: 21, 22: 21}
+
+
 def test_given_documents(spark, sf):
     check(table(spark, sf, "documents"))
 
