@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sipnote.llm import exact_dedup, jaccard_join, mixing, packing, quality
-from sipnote.llm.common import maybe_broadcast, table
+from sipnote.llm.common import table
 from sipnote.llm.queries import LANGUAGE_TARGETS, LEAST_RATE
 from sipnote.session import written
 
@@ -28,9 +28,7 @@ def no_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by 0.8 or more of their shingles of five words, keep that with the smallest id."""
-    linked = jaccard_join.linked_documents(docs, words=5, percent=80)
-    dropped = linked.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(maybe_broadcast(written(dropped, "near-copies"), 16), "doc_id", "left_anti").select(*docs.columns)
+    return jaccard_join.without_near_copies(docs, words=5, percent=80)
 
 
 def mixed_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

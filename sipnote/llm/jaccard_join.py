@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sipnote.llm.common import maybe_broadcast, settings, whole
 from sipnote.llm.graph import components
@@ -565,6 +566,23 @@ def _labels(both: DataFrame) -> DataFrame:
     return written(chosen.join(sure, "middle", "left_semi").select("set_id", F.col("middle").alias("label")), "labels")
 
 
+def linked_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n, set_id, group (null without a known
+    set; the smallest set of the component) and component_id (the smallest id of the group)."""
+    sets, links = similar_sets(docs, words, percent)
+    known = sets.where(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull())
+    reps = written(known.groupBy("set_id").agg(F.min("doc_id").alias("rep")), "set-representatives")
+    # Sets are the nodes: an id that repeats may stand for sets of several components.
+    found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    found = written(found.select(F.col("node").alias("set_id"), F.col("component").alias("group")), "set-components")
+    least = found.join(reps, "set_id").groupBy("group").agg(F.min("rep").alias("least"))
+    joined = reps.join(maybe_broadcast(found.join(least, "group"), 32), "set_id", "left")
+    labels = joined.select(
+        "set_id", F.coalesce("group", "set_id").alias("group"), F.coalesce("least", "rep").alias("component_id")
+    )
+    return sets.join(labels, "set_id", "left").select("doc_id", "n", "set_id", "group", "component_id")
+
+
 def linked_documents(
     docs: DataFrame,
     words: int = WORDS,
@@ -582,15 +600,46 @@ def linked_documents(
     other columns are ignored, whatever their names. Sets are told apart by 64-bit hashes.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text_col).alias("text"))
-    sets, links = similar_sets(rows, words, percent)
-    known = sets.where(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull())
-    reps = written(known.groupBy("set_id").agg(F.min("doc_id").alias("rep")), "set-representatives")
-    named = links.join(reps.select(F.col("set_id").alias("a"), F.col("rep").alias("u")), "a").join(
-        reps.select(F.col("set_id").alias("b"), F.col("rep").alias("v")), "b"
-    )
-    found = written(components(named.select("u", "v")), "set-components")
-    joined = reps.join(maybe_broadcast(found, 32), reps["rep"] == found["node"], "left")
-    labels = joined.select("set_id", F.coalesce("component", "rep").alias("component_id"))
-    out = sets.join(labels, "set_id", "left")
+    out = linked_rows(rows, words, percent)
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def without_near_copies(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, all columns, one for every component: that with the smallest id.
+
+    Rows that repeat an id are documents each, so one may stay and another go. Where several rows of
+    a component have its smallest id, one of those with the smallest set id stays, by text. Rows with
+    a null id, and texts without shingles, are linked with nothing and stay.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole("text").alias("text"))
+    rows = written(linked_rows(texts, words, percent).where("doc_id IS NOT NULL"), "near-rows")
+    dropped = rows.where("component_id <> doc_id").select("doc_id").distinct()
+    dropped = maybe_broadcast(written(dropped, "near-copies"), 16)
+    again = written(rows.groupBy("doc_id").count().where("count > 1").select("doc_id"), "near-repeated")
+    if again.isEmpty():
+        return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    again = maybe_broadcast(again, 16)
+    once = docs.join(again, "doc_id", "left_anti").join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+    # Of ids that repeat, what stays is told by the id and the set.
+    first = rows.where("doc_id = component_id").groupBy("group", "doc_id").agg(F.min("set_id").alias("set_id"))
+    first = first.where("group IS NOT NULL").join(again, "doc_id", "left_semi").select("doc_id", "set_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(batch.column(1).to_pylist(), words) if batch.num_rows else []
+            ids = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids], ["doc_id", "text", "row", "set_id"])
+
+    repeated = docs.join(again, "doc_id", "left_semi").select(*docs.columns)
+    keyed = repeated.select(
+        F.col("doc_id").cast("long").alias("doc_id"), whole("text").alias("text"), F.struct("*").alias("row")
+    )
+    schema = T.StructType([*keyed.schema.fields, T.StructField("set_id", T.LongType())])
+    with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "512"}):
+        keyed = written(keyed.mapInArrow(run, schema), "near-keyed")
+    chosen = keyed.join(maybe_broadcast(first, 32), ["doc_id", "set_id"], "left_semi")
+    chosen = chosen.groupBy("doc_id", "set_id").agg(F.min_by("row", "text").alias("row"))
+    blank = keyed.where("set_id IS NULL")
+    return once.unionByName(chosen.select("row.*")).unionByName(blank.select("row.*"))

@@ -102,6 +102,34 @@ def test_null_id_is_the_smallest_of_small_sets(spark, monkeypatch):
     assert wanted == {1: 1, 2: 1, 11: 11, 12: 11, 21: 21, 22: 21}
 
 
+def test_one_row_of_each_component_of_repeated_ids(spark):
+    rng = random.Random(6)
+    base = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(7)]
+    near = lambda k, i: f"{base[k]} end{i}"
+    rows = [(5, base[0]), (9, near(0, 1)), (3, base[1]), (5, near(1, 1))]  # 5 stays for one text, goes for another
+    rows += [(11, base[2]), (11, near(2, 1)), (12, near(2, 2))]  # both rows of the smallest id in one component
+    rows += [(20, base[3]), (20, base[4]), (15, near(3, 1)), (16, near(4, 1))]  # one id must not join two components
+    rows += [(30, base[5]), (30, base[5].upper()), (31, near(5, 1))]  # one id, one set
+    rows += [(40, None), (40, " "), (40, base[6]), (None, near(6, 1)), (None, near(6, 1)), (50, "x y z")]
+    docs = docs_of(spark, *rows)
+    left = J.without_near_copies(docs.withColumnRenamed("lang", "set_id").withColumnRenamed("source", "row"), 5, 80)
+    assert left.columns == ["doc_id", "text", "set_id", "row", "n_chars"]
+    out = sorted((str(r.doc_id), str(r.text)) for r in left.collect())
+    eleven = [t for i, t in out if i == "11"]
+    assert len(eleven) == 1 and eleven[0] in (base[2], near(2, 1))
+    kept = [(5, base[0]), (3, base[1]), (11, eleven[0]), (15, near(3, 1)), (16, near(4, 1)), (30, base[5].upper())]
+    kept += [r for r in rows if r[0] in (None, 40, 50)]
+    assert out == sorted((str(i), str(t)) for i, t in kept)
+    assert J.without_near_copies(docs.limit(0), 5, 80).count() == 0
+
+
+def test_a_repeated_id_joins_no_components(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    docs = docs_of(spark, (5, one), (5, two), (2, one + " end"), (3, two + " end"), (7, "p q r s"))
+    out = sorted((r.doc_id, r.component_id) for r in J.linked_documents(docs).collect())
+    assert out == [(2, 2), (3, 3), (5, 2), (5, 3), (7, 7)]
+
+
 def test_given_documents(spark, sf):
     check(table(spark, sf, "documents"))
 
