@@ -85,3 +85,28 @@ joined AS (
 SELECT doc_id, n_assign, n_access, n_hex, sha256({_JOINED.format('base')}) AS base_sha256, {_JOINED.format('every')} AS spans
 FROM joined
 """
+
+ORACLE["op11_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || doc_id) AS h
+  FROM documents),
+numbers AS (
+  SELECT doc_id, t, u, len(u) AS n,
+         [CAST('0x' || h[8 * i + 1 : 8 * i + 8] AS BIGINT) FOR i IN range(4)] AS h FROM d),
+cuts AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers),
+sections AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a+1:b], '') AS m, array_to_string(u[b+1:n], '') AS s
+  FROM cuts)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM sections
+"""

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sipnote.llm import exact_dedup, jaccard_join, licenses, mixing, neighbours, packing, quality, secrets, sharding, toxicity
+from sipnote.llm import (
+    exact_dedup,
+    fill_in_middle,
+    jaccard_join,
+    licenses,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    toxicity,
+)
 from sipnote.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +105,8 @@ def op9_exact_dedup(spark, sf):
 @query
 def op10_license_scans(spark, sf):
     return licenses.license_summary(licenses.find_licenses(table(spark, sf, "documents")))
+
+
+@query
+def op11_fill_in_middle(spark, sf):
+    return fill_in_middle.fill_in_middle(table(spark, sf, "documents"))

@@ -1,0 +1,93 @@
+import hashlib
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sipnote.llm import fill_in_middle as M
+from sipnote.llm.common import table
+from tests.llm.helpers import docs_of
+
+
+def plain_version(doc_id, text):
+    text = text or ""
+    units = re.findall(r"[A-Za-z]+|[^A-Za-z]", text, re.S)
+    digest = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    n = len(units)
+    low, high = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = "".join(units[:low]), "".join(units[low:high]), "".join(units[high:])
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return doc_id, n, "plain", None, None, text
+    if h[3] % 100 < 20:
+        return doc_id, n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return doc_id, n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def sha(text):
+    return hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def check(docs):
+    wanted = []
+    for r in docs.select("doc_id", "text").collect():
+        *facts, output = plain_version(r.doc_id, r.text)
+        wanted.append((*facts, sha(output), sha(r.text)))
+    got = [tuple(r) for r in M.fill_in_middle(docs).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, wanted))
+    return got
+
+
+def test_whole_table(spark, sf):
+    got = check(table(spark, sf, "documents"))
+    assert {r[2] for r in got} == {"plain", "psm", "spm"}
+
+
+def test_edges(spark):
+    long = "Größe 😀 ab1 < " * 60_000
+    texts = [None, "", "a", "é", "😀😀", "one two", "a <P> b", "<S>", "x<M", "<" * 9, "a<P", ">b", long, "z" * 300_000, "\n\r\t \x00"]
+    rows = [(i * 7 + j, t) for j, t in enumerate(texts) for i in range(12)]
+    check(docs_of(spark, *rows, (None, None), (None, "a b c"), (None, "a b c"), (-5, "a b"), (3, "other text of 3")))
+
+
+def test_equal_rows_are_rows_each(spark):
+    rows = spark.range(30_000).selectExpr("1L AS doc_id", "'one hot row, many times' AS text", "'x' AS data", "id AS key")
+    out = M.fill_in_middle(rows.repartition(7))
+    assert out.count() == 30_000 and out.distinct().count() == 1
+    assert M.fill_in_middle(rows.limit(0)).count() == 0
+
+
+def test_outputs(spark):
+    docs = docs_of(spark, *[(i, f"text number {i} <b>ends</b> here") for i in range(40)])
+    for r in M.fill_in_middle(docs, texts=True).collect():
+        output = plain_version(r.doc_id, f"text number {r.doc_id} <b>ends</b> here")[-1]
+        assert r.output == output and r.output_sha256 == sha(output)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab <PSM>é😀\n", max_size=40), st.integers(0, 40), st.integers(0, 40), st.sampled_from(["psm", "spm"]), st.integers(1, 5))
+def test_sections_come_back(text, i, j, form, step):
+    if any(m in text for m in ("<P>", "<S>", "<M>")):
+        return
+    low, high = sorted((min(i, len(text)), min(j, len(text))))
+    part = {"P": text[:low], "M": text[low:high], "S": text[high:]}
+    output = "".join(f"<{k}>{part[k]}" for k in M.FORMS[form]).encode()
+    sections, found = M.Sections(form), {0: b"", 1: b"", 2: b""}
+    for a in range(0, len(output), step):
+        for place, data in sections.feed(output[a : a + step]):
+            found[place] += data
+    place, data = sections.end()
+    found[place] += data
+    assert b"".join(found[k] for k in range(3)).decode() == text
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="aZ1 é😀\n", max_size=12), max_size=5))
+def test_units(texts):
+    units = M.Units([t.encode() for t in texts])
+    for i, t in enumerate(texts):
+        own = re.findall(r"[A-Za-z]+|[^A-Za-z]", t, re.S)
+        assert units.count[i] == len(own)
+        starts = [len("".join(own[:k]).encode()) for k in range(len(own) + 1)]
+        assert [units.byte(i, k) for k in range(len(own) + 1)] == starts
+        assert units.chars_between(i, 0, starts[-1]) == len(t)
