@@ -110,3 +110,48 @@ SELECT doc_id, n, form,
        sha256(t) AS restored_sha256
 FROM sections
 """
+
+
+def _assigned(name: str, book: str) -> str:
+    """SQL for the nearest entry of each part by a codebook (part, entry, c)."""
+    return f"""{name} AS MATERIALIZED (
+  SELECT vec_id, part, x, min(s).e AS entry, min(s).d AS d
+  FROM (SELECT p.vec_id, p.part, p.x,
+               {{'d': list_sum(list_transform(list_zip(p.x, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': b.entry}} AS s
+        FROM parts p JOIN {book} b USING (part))
+  GROUP BY ALL)"""
+
+
+def _improved(name: str, book: str, found: str) -> str:
+    """SQL for a codebook after a round of assignments."""
+    return f"""{name} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.c, b.c) AS c FROM {book} b LEFT JOIN (
+    SELECT part, entry, list(CAST(floor(total / n) AS BIGINT) ORDER BY j) AS c
+    FROM (SELECT part, entry, j, CAST(sum(v) AS BIGINT) AS total, count(*) AS n
+          FROM (SELECT part, entry, unnest(x) AS v, unnest(range(len(x))) AS j FROM {found}) GROUP BY ALL)
+    GROUP BY ALL) m USING (part, entry))"""
+
+
+ORACLE["op13_vector_codes"] = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, CAST(part AS INT) AS part, v[part * len(v) // 16 + 1 : (part + 1) * len(v) // 16] AS x
+  FROM kept, range(16) r(part)),
+begun AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 64),
+book0 AS MATERIALIZED (SELECT part, entry, x AS c FROM parts JOIN begun USING (vec_id)),
+{_assigned('found1', 'book0')},
+{_improved('book1', 'book0', 'found1')},
+{_assigned('found2', 'book1')},
+{_improved('book2', 'book1', 'found2')},
+{_assigned('found3', 'book2')},
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM found3 GROUP BY vec_id)
+SELECT vec_id, code, error,
+       CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       sha256((SELECT string_agg(array_to_string(c, ','), ',' ORDER BY part, entry) FROM book2)) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""

@@ -19,6 +19,7 @@ from sipnote.llm import (
     secrets,
     sharding,
     toxicity,
+    vector_codes,
 )
 from sipnote.llm.common import table
 
@@ -110,3 +111,15 @@ def op10_license_scans(spark, sf):
 @query
 def op11_fill_in_middle(spark, sf):
     return fill_in_middle.fill_in_middle(table(spark, sf, "documents"))
+
+
+@query
+def op13_vector_codes(spark, sf):
+    coded, codebooks = vector_codes.compress(table(spark, sf, "embeddings"))
+    return coded.select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.codebooks_digest(codebooks)).alias("codebooks_sha256"),
+    )
