@@ -111,6 +111,23 @@ SELECT doc_id, n, form,
 FROM sections
 """
 
+ORACLE["op12_vector_join"] = """
+WITH RECURSIVE kept AS MATERIALIZED (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM kept a JOIN kept b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_dot_product(a.v, b.v) / (a.n * b.n) >= 0.9),
+counts AS (SELECT x, count(*) AS n_links FROM links GROUP BY x),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least_of AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(y, vec_id)) AS component_id,
+       vec_id <= coalesce(y, vec_id) AS kept
+FROM embeddings LEFT JOIN counts c ON c.x = vec_id LEFT JOIN least_of l ON l.x = vec_id
+"""
+
 
 def _assigned(name: str, book: str) -> str:
     """SQL for the nearest entry of each part by a codebook (part, entry, c)."""

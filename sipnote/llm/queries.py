@@ -20,6 +20,7 @@ from sipnote.llm import (
     sharding,
     toxicity,
     vector_codes,
+    vector_join,
 )
 from sipnote.llm.common import table
 
@@ -113,6 +114,11 @@ def op11_fill_in_middle(spark, sf):
     return fill_in_middle.fill_in_middle(table(spark, sf, "documents"))
 
 
+@query
+def op12_vector_join(spark, sf):
+    return vector_join.linked_vectors(table(spark, sf, "embeddings"))
+
+
 @query
 def op13_vector_codes(spark, sf):
     coded, codebooks = vector_codes.compress(table(spark, sf, "embeddings"))
