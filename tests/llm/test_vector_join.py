@@ -98,7 +98,7 @@ def test_edges(spark):
 
 def test_hot_vector(spark):
     df = spark.range(3000).selectExpr(
-        "id AS vec_id", "array(float(1), float(id % 3 * (id % 11 = 0)), float(0)) AS embedding", "1 AS label"
+        "id AS vec_id", "array(float(1), float(CASE WHEN id % 11 = 0 THEN id % 3 ELSE 0 END), float(0)) AS embedding", "1 AS label"
     )
     check(df)
 
