@@ -11,9 +11,11 @@ their frequencies; two linked sets share ``SHARED`` of the shingles which come f
 tenth of them and a few more), so only these are listed. Short lists, of ``SHORT`` sets at most, give
 their pairs, and pairs that meet in enough of them are intersected. Sets that meet in any longer list
 are compared there by size and by the parity of hashed shingles, which bounds the difference of two
-sets from below and so drops no link; what passes is intersected. First every long list is compared
-with one of its sets only. What is thereby linked need not be compared again; then all others are.
-Lists longer than a block are dealt to tasks by pairs of blocks.
+sets from below and so drops no link; what passes is intersected. A scan of a long list gives at most
+two pairs for each of its sets, to a middle and to the likeliest other. Components of what is thereby
+linked are contracted, and the lists scanned once more for sets of different components. Entries that may
+still be linked then are settled in the task, by their shingles. So what leaves a list grows with its
+entries, not with their pairs. Lists longer than a block are dealt to tasks by pairs of blocks.
 
 The size from which sets are heavy is where listing subsets starts to cost more than scanning.
 """
@@ -413,62 +415,118 @@ def load_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return written(rows.mapInArrow(run, schema), "list-sets")
 
 
+class Group:
+    """The sets of one list: what bounds their distances, and which are known to be joined."""
+
+    def __init__(self, percent: int, owner, n, label, small: pa.Array, large: pa.Array):
+        self.percent, self.owner, self.n, self.label = percent, owner, n, label
+        self.small = np.frombuffer(b"".join(small.to_pylist()), np.uint64).reshape(len(n), -1)
+        maps = large.to_pylist()
+        own = [k for k, m in enumerate(maps) if m is not None]
+        self.at = np.full(len(n), -1)
+        self.at[own] = np.arange(len(own))
+        self.large = np.frombuffer(b"".join(maps[k] for k in own), np.uint64).reshape(len(own), -1) if own else None
+        self.order = np.argsort(n, kind="stable")
+        self.ends = np.searchsorted(n[self.order], 100 * n[self.order] // percent, side="right")
+
+    def likely(self, i: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of ``others`` that may be linked to ``i``, and by how much less they differ than a link allows."""
+        both = self.n[i] + self.n[others]
+        least = -(-self.percent * both // (100 + self.percent))
+        spare = both - 2 * least - np.bitwise_count(self.small[others] ^ self.small[i]).sum(axis=1).astype(np.int64)
+        fit = (least <= np.minimum(self.n[i], self.n[others])) & (spare >= 0)
+        if self.at[i] >= 0:
+            known = np.flatnonzero(fit & (self.at[others] >= 0))
+            apart = np.bitwise_count(self.large[self.at[others[known]]] ^ self.large[self.at[i]]).sum(axis=1)
+            spare[known] = (both - 2 * least)[known] - apart.astype(np.int64)
+            fit[known] = spare[known] >= 0
+        return others[fit], spare[fit]
+
+    def after(self, place: int) -> np.ndarray:
+        """The sets after a place in the order of sizes that are not too large for a link, and not yet joined."""
+        later = self.order[place + 1 : self.ends[place]]
+        return later[self.label[later] != self.label[self.order[place]]]
+
+
+def _groups(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[tuple[int, Group, pa.RecordBatch]]:
+    """The lists of sorted batches of (key, set_id, n, degree, label, small, large, ...)."""
+    for batch in _runs(batches):
+        key = batch.column(0).to_numpy()
+        bounds = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if b - a > 1:
+                own = batch.slice(a, b - a)
+                owner, n, label = (own.column(i).to_numpy() for i in (1, 2, 4))
+                if (label != label[0]).any():
+                    yield int(key[a]), Group(percent, owner, n, label, own.column(5), own.column(6)), own
+
+
 @dataclass
 class Scan:
-    """Pairs of a list that may be linked: of one set with all others, or of all sets whose labels
-    differ."""
+    """Pairs of a list's sets that may be linked and are not joined yet: at most two for each set.
+
+    One set is the middle: that with the highest degree in the label most sets have. It is paired with all
+    it may be linked to; every set beside is paired with the likeliest of all. A set that may be linked to
+    any is in some pair.
+    """
 
     percent: int
-    star: bool
 
     def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sorted batches of (key, set_id, n, degree, label, small, large) to pairs (a, b)."""
-        seen: set[tuple[int, int]] = set()
-        for batch in _runs(batches):
-            key, owner, n, degree, label = (batch.column(i).to_numpy() for i in range(5))
-            small = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint64).reshape(len(key), -1)
-            large = batch.column(6)
-            bounds = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-            new: list[tuple[int, int]] = []
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                if b - a < 2:
-                    continue
-                order = a + np.argsort(n[a:b], kind="stable")
-                if self.star:
-                    top = a + int(np.lexsort((owner[a:b], -degree[a:b]))[0])
-                    firsts = [(top, order[order != top])]
-                else:
-                    ends = np.searchsorted(n[order], 100 * n[order] // self.percent, side="right")
-                    firsts = [(order[i], order[i + 1 : e]) for i, e in enumerate(ends.tolist()) if e > i + 1]
-                for i, others in firsts:
-                    if not self.star:
-                        others = others[label[others] != label[i]]
-                    if not len(others):
-                        continue
-                    both = n[i] + n[others]
-                    least = -(-self.percent * both // (100 + self.percent))
-                    fit = least <= np.minimum(n[i], n[others])
-                    apart = np.bitwise_count(small[others] ^ small[i]).sum(axis=1)
-                    fit &= apart <= both - 2 * least
-                    for j in others[fit].tolist():
-                        pair = (int(owner[i]), int(owner[j]))
-                        pair = pair if pair[0] < pair[1] else pair[::-1]
-                        if pair in seen or not self._large(large, i, j, int(n[i] + n[j])):
-                            continue
-                        seen.add(pair)
-                        new.append(pair)
-            if len(seen) > 1_000_000:
-                seen.clear()
-            if new:
-                columns = [pa.array([p[k] for p in new], pa.int64()) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+        """Sorted batches of lists to (key, a, b)."""
+        for key, group, own in _groups(batches, self.percent):
+            pairs = self._pairs(group, own.column(3).to_numpy())
+            if len(pairs):
+                a, b = group.owner[pairs[:, 0]], group.owner[pairs[:, 1]]
+                columns = [np.full(len(pairs), key), np.minimum(a, b), np.maximum(a, b)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "a", "b"])
+
+    @staticmethod
+    def _pairs(group: Group, degree: np.ndarray) -> np.ndarray:
+        size = len(group.n)
+        labels, counts = np.unique(group.label, return_counts=True)
+        common = np.flatnonzero(group.label == labels[counts.argmax()])
+        middle = int(common[np.lexsort((group.owner[common], -degree[common]))[0]])
+        others = np.flatnonzero(group.label != group.label[middle])
+        around, _ = group.likely(middle, others)
+        best, spare = np.full(size, -1), np.full(size, -1, np.int64)
+        for place in range(size):
+            i = int(group.order[place])
+            found, room = group.likely(i, group.after(place))
+            if not len(found):
+                continue
+            nearer = room > spare[found]
+            best[found[nearer]], spare[found[nearer]] = i, room[nearer]
+            if room.max() > spare[i]:
+                best[i], spare[i] = found[room.argmax()], room.max()
+        rest = np.setdiff1d(np.flatnonzero(best >= 0), around)
+        pairs = np.concatenate([np.column_stack([np.full(len(around), middle), around]), np.column_stack([rest, best[rest]])])
+        return pairs[np.unique(np.sort(pairs, axis=1), axis=0, return_index=True)[1]] if len(pairs) else pairs
 
-    def _large(self, large: pa.Array, i: int, j: int, both: int) -> bool:
-        x, y = large[i].as_py(), large[j].as_py()
-        if x is None or y is None:
-            return True
-        apart = np.bitwise_count(np.frombuffer(x, np.uint64) ^ np.frombuffer(y, np.uint64)).sum()
-        return apart <= both - 2 * -(-self.percent * both // (100 + self.percent))
+
+@dataclass
+class Settle:
+    """Links between sets of a list that join what is not joined yet, by their shingles: fewer than sets."""
+
+    percent: int
+
+    def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted batches of lists, with the shingles as column 7, to (a, b)."""
+        for _, group, own in _groups(batches, self.percent):
+            shingles = [np.sort(own.column(7)[i].values.to_numpy()) for i in range(len(group.n))]
+            group.label = group.label.copy()
+            links = []
+            for place in range(len(group.n)):
+                i = int(group.order[place])
+                for j in group.likely(i, group.after(place))[0].tolist():
+                    if group.label[i] == group.label[j]:
+                        continue
+                    shared = len(np.intersect1d(shingles[i], shingles[j], assume_unique=True))
+                    if 100 * shared >= self.percent * (len(shingles[i]) + len(shingles[j]) - shared):
+                        links.append((group.owner[i], group.owner[j]))
+                        group.label[group.label == group.label[j]] = group.label[i]
+            columns = [pa.array([link[k] for link in links], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -483,20 +541,52 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(100 * shared >= percent * union).select("a", "b")
 
 
-def _scanned(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
-    """Pairs of the lists that may be linked; with ``labels`` (set_id, label) those they don't join."""
+def _described(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, *more: str) -> DataFrame:
+    """Entries (key, set_id, n) of long lists, with what a scan compares, in runs of a list."""
     # The set that stands in most lists is the likeliest middle of its like.
     degree = lists.groupBy("set_id").agg(F.count(F.lit(1)).alias("degree"))
-    about = sets.select("set_id", "small", "large").join(degree, "set_id")
+    about = sets.select("set_id", "small", "large", *more).join(degree, "set_id")
     if labels is not None:
-        about = about.join(labels, "set_id", "left")
-        about = about.withColumn("label", F.coalesce("label", "set_id"))
+        about = about.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     else:
         about = about.withColumn("label", F.col("set_id"))
     rows = lists.select("key", "set_id", "n").join(about, "set_id")
-    rows = rows.select("key", "set_id", F.col("n").cast("long"), "degree", "label", "small", "large")
-    ordered = rows.repartition(F.col("key")).sortWithinPartitions("key", "set_id")
-    return ordered.mapInArrow(Scan(percent, labels is None).run, "a long, b long")
+    rows = rows.select("key", "set_id", F.col("n").cast("long"), "degree", "label", "small", "large", *more)
+    return rows.repartition(F.col("key")).sortWithinPartitions("key", "set_id")
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    """(set_id, label): the component of each linked set, written."""
+    found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return written(found.select(F.col("node").alias("set_id"), F.col("component").alias("label")), "labels")
+
+
+def scanned_links(met: DataFrame, lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b), written, that join all sets joined by pairs ``met`` or by the long ``lists``.
+
+    Two scans link most sets through few pairs. What may still be linked, and is not joined, is in a pair
+    of the second scan, list by list; those entries alone get their shingles, and are settled in the task.
+    """
+    scan = Scan(percent)
+    first = written(_described(lists, sets, None).mapInArrow(scan.run, "key long, a long, b long"), "scanned")
+    links = written(_verified(met.unionByName(first.select("a", "b")), sets, percent), "scan-links")
+    if first.isEmpty():
+        return links
+    again = _described(lists, sets, _labels(links)).mapInArrow(scan.run, "key long, a long, b long")
+    again = written(again, "scanned")
+    if again.isEmpty():
+        return links
+    links = written(links.unionByName(_verified(again.select("a", "b"), sets, percent)), "scan-links")
+    labels = _labels(links)
+    pairs = again.select("key", F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    named = pairs.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    # Lists whose sets are all joined by now are done.
+    open_ = named.groupBy("key").agg((F.min("label") < F.max("label")).alias("open")).where("open").select("key")
+    entries = written(lists.join(pairs.join(open_, "key", "left_semi"), ["key", "set_id"], "left_semi"), "open-entries")
+    if entries.isEmpty():
+        return links
+    rest = _described(entries, sets, labels, "shingles").mapInArrow(Settle(percent).run, "a long, b long")
+    return written(links.unionByName(rest.distinct()), "scan-links")
 
 
 def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -538,12 +628,8 @@ def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
     wanted = either.unionByName(scanned.select("set_id")).distinct().join(reps, "set_id").select("doc_id")
     with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "512"}):
         sets = load_sets(docs, wanted, words)
-        likely = met.unionByName(_scanned(scanned, sets, None, percent))
-        star = written(_verified(likely, sets, percent), "star-links")
-        both = star.select(F.col("a").alias("set_id"), "b").unionByName(star.select(F.col("b").alias("set_id"), F.col("a").alias("b")))
-        labels = _labels(both)
-        rest = written(_verified(_scanned(scanned, sets, labels, percent), sets, percent), "other-links")
-    return rows, written(by_subset.unionByName(star).unionByName(rest).distinct(), "set-links")
+        rest = scanned_links(met, scanned, sets, percent)
+    return rows, written(by_subset.unionByName(rest).distinct(), "set-links")
 
 
 def _asked(n: str, other: str, percent: int) -> Column:
@@ -551,21 +637,6 @@ def _asked(n: str, other: str, percent: int) -> Column:
     return F.ceil(F.lit(percent) * (F.col(n) + F.col(other)) / F.lit(100 + percent))
 
 
-def _labels(both: DataFrame) -> DataFrame:
-    """(set_id, label): sets linked to one middle share its label. ``both`` has each link both ways.
-
-    The middle of a set is that of its neighbours and itself with the most links.
-    """
-    degree = both.groupBy("set_id").agg(F.count(F.lit(1)).alias("links"))
-    around = both.join(degree.select(F.col("set_id").alias("b"), F.col("links").alias("b_links")), "b")
-    best = around.groupBy("set_id").agg(F.max(F.struct("b_links", "b")).alias("best")).join(degree, "set_id")
-    own = F.struct(F.col("links").alias("b_links"), F.col("set_id").alias("b"))
-    chosen = best.select("set_id", F.greatest("best", own)["b"].alias("middle"))
-    # A middle may itself have chosen another: only sets whose middle chose itself share its label.
-    sure = chosen.where("set_id = middle").select("middle")
-    return written(chosen.join(sure, "middle", "left_semi").select("set_id", F.col("middle").alias("label")), "labels")
-
-
 def linked_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n, set_id, group (null without a known
     set; the smallest set of the component) and component_id (the smallest id of the group)."""
