@@ -390,6 +390,14 @@ ORACLE: dict[str, str] = {
     "baseline_test_rows": over_reviews(
         "SELECT review_id, sentiment AS true_label, true AS label_known FROM split WHERE split = 'test'", RANKED
     ),
+    "grid_combinations": over_reviews(
+        """, trained AS (SELECT sentiment, row_number() OVER (PARTITION BY sentiment ORDER BY md5(concat('42:', review_id)), review_id) - 1 AS r
+                      FROM split WHERE split = 'train'),
+           folds AS (SELECT CAST(r % 3 AS INTEGER) AS fold, count(*) AS n FROM trained GROUP BY ALL)
+           SELECT solver, CAST(c AS DOUBLE) AS c, fold, n AS n_held_out, true AS scored, true AS chosen_is_best
+           FROM folds, (VALUES ('multinomial'), ('one_vs_rest')) s(solver), (VALUES (0.1), (1.0), (10.0)) g(c)""",
+        RANKED,
+    ),
     "class_weights": over_reviews(
         """SELECT sentiment, count(*) AS n, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
            FROM labelled GROUP BY sentiment""",

@@ -324,6 +324,21 @@ def baseline_report(spark, sf):
     return E.classification_report(baseline_predictions(spark, sf), "true_label", "pred_label")
 
 
+@query
+def grid_combinations(spark, sf):
+    """Every combination of the grid with the rows held out of its fits, and whether the chosen one is the best."""
+    result = modeling.grid_search(_prepared(spark, sf).where(F.col("split") == "train"))
+    best = max(f1 for _, _, f1 in result.scores)
+    kinds = {"LogisticRegressionModel": "multinomial", "OneVsRestModel": "one_vs_rest"}
+    is_best = (*result.chosen, best) in result.scores and kinds[type(result.model.stages[-1]).__name__] == result.chosen[0]
+    rows = [
+        (solver, c, fold, n, 0 < f1 <= 1, is_best)
+        for solver, c, f1 in result.scores
+        for fold, n in enumerate(result.fold_rows)
+    ]
+    return spark.createDataFrame(rows, "solver string, c double, fold int, n_held_out long, scored boolean, chosen_is_best boolean")
+
+
 @query
 def grid_search(spark, sf):
     rows = _prepared(spark, sf)

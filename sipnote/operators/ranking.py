@@ -1,27 +1,40 @@
 """First rows, seeded samples and exact stratified splits without sorting the table.
 
 All of them ask for "the q first rows by some order". A sort or a window would bring a whole
-stratum (a label holds a third of the rows or more) to one task. Instead the order is cut into
-buckets, a histogram says in which bucket the q-th row lies, only that bucket is ranked, and the
-row found there is a threshold. For one order over all rows the bucket is cut again while it is
-large, so that outlying keys do not crowd the rest into it; its threshold is a constant of a
-row-wise condition, pushed down to the scan where the order is a plain column. Thresholds of many
-strata are a table with one row each, joined by label.
-
-Rows with a null key come last. Rows of one key are told apart by a hash of all their columns;
-only rows equal in every column stay together.
+stratum (a label holds a third of the rows or more) to one task. Instead a mergeable quantile sketch
+of every stratum, made in one narrow pass over key and label, brackets the place of the q-th row. A
+second narrow pass counts the rows before the bracket and ranks only those inside; where a sketch
+leaves too many of them, the bracket is sketched again. The row found there is a threshold. For one
+order over all rows it is a constant of a row-wise condition, pushed down to the scan where the
+order is a plain column. Thresholds of many strata are a table with one row each, joined by label.
+
+A bracket is checked by the counts and widened if a sketch was off by more than it states, so the
+result is exact. Rows with a null key come last. Rows of one key are told apart by a hash of all
+their columns, computed in a pass of its own for rows at a threshold alone, and only where the
+threshold divides them; rows equal in every column stay together.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sipnote.operators.lookup import fits_broadcast
+from sipnote.session import written
 
 BUCKETS = 65_536
-# A bucket with more rows than this is cut again before its rows are ranked.
+# Items a sketch keeps; ranks it gives are off by a quarter of SLACK at most, nearly always.
+SKETCH = 2048
+SLACK = 0.01
+# Strata up to this size are in their sketch whole.
+EXACT_ROWS = 1000
+SHARES = 400
+# A bracket with more rows than this is sketched again before its rows are ranked.
 RANKED_ROWS = 100_000
+MOST_ROUNDS = 12
 
 
 def seeded_hash(seed: int, key: str) -> Column:
@@ -40,74 +53,170 @@ def _hash_number(hashed: Column) -> Column:
     return F.conv(F.left(hashed, F.lit(13)), 16, 10).cast("long")
 
 
-def _narrowed(rows: DataFrame, n: int) -> tuple[DataFrame, int, int]:
-    """The rows of the last bucket looked at, the place of the n-th row in it, and its size."""
-    low, high = rows.agg(F.min("place"), F.max("place")).first()
-    while True:
-        here = rows.where(F.col("place").between(low, high))
-        width = (float(high) - float(low)) / BUCKETS or 1.0
-        bucket = F.least(F.floor((F.col("place").cast("double") - float(low)) / width), F.lit(BUCKETS - 1))
-        counts = here.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.min("place"), F.max("place"))
-        for _, count, first, last in sorted(counts.collect()):  # at most BUCKETS
-            if n <= count:
-                break
-            n -= count
-        if count <= RANKED_ROWS or first == last or (first, last) == (low, high):
-            return rows.where(F.col("place").between(first, last)), n, count
-        low, high = first, last
+@dataclass
+class Order:
+    """An order of rows by ``items``; ``place`` is a number that goes with it, null for a null key."""
+
+    place: Column
+    whole_numbers: bool
+    items: dict[str, Column]
+
+    def place_or_last(self) -> Column:
+        if self.whole_numbers:
+            return F.coalesce(self.place.cast("long"), F.lit(2**63 - 1))
+        return F.coalesce(F.nanvl(self.place.cast("double"), F.lit(float("inf"))), F.lit(float("inf")))
+
+    def item(self) -> Column:
+        """What decides the order; null keys after all others, and alike."""
+        known = self.place.isNotNull()
+        return F.struct((~known).alias("unknown"), *[F.when(known, c).alias(name) for name, c in self.items.items()])
+
+    def sketch(self, place: Column) -> Column:
+        kind = F.kll_sketch_agg_bigint if self.whole_numbers else F.kll_sketch_agg_double
+        return kind(place, F.lit(SKETCH))
+
+
+def _hashed_order(seed: int, key: str) -> Order:
+    hashed = seeded_hash(seed, key)
+    return Order(_hash_number(hashed), True, {"hash": hashed, "key": F.col(key)})
+
+
+def _number_order(df: DataFrame, key: str) -> Order:
+    whole = isinstance(df.schema[key].dataType, T.IntegralType)
+    return Order(F.col(key), whole, {"key": F.col(key)})
+
+
+def _tie_order() -> Order:
+    return Order(F.col("tie"), True, {"tie": F.col("tie")})
+
+
+def _sketches(rows: DataFrame, order: Order) -> DataFrame:
+    """(label, n, sketch, below) of the places of each stratum; no row lies below yet."""
+    own = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"), order.sketch(F.col("place")).alias("sketch"))
+    return own.withColumn("below", F.lit(0).cast("long"))
+
 
+def _of_strata(rows: DataFrame, label: str, table: DataFrame, few: bool, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row per stratum; ``few``: it fits a broadcast."""
+    own = table.withColumnRenamed("label", "_of")
+    return rows.join(F.broadcast(own) if few else own, F.col(label).eqNullSafe(F.col("_of")), how).drop("_of")
 
-def _nth(rows: DataFrame, n: int, order: list[str]) -> tuple:
-    """The values of ``order`` of the n-th row. ``place`` is a number that goes with the order.
 
-    ``rows`` has at least ``n`` rows, and ``place`` is not null.
+def _with_quotas(stats: DataFrame, quotas: DataFrame, few: bool) -> DataFrame:
+    """``stats`` of the strata whose ``quota`` is above zero, with it; written."""
+    return written(_of_strata(stats, "label", quotas.select("label", "quota").where("quota > 0"), few), "sketches")
+
+
+def _brackets(stats: DataFrame, order: Order, slack: float) -> DataFrame:
+    """(label, low, high, quota, within): around the place of the row asked for, and how many rows that may hold."""
+    quantile = F.kll_sketch_get_quantile_bigint if order.whole_numbers else F.kll_sketch_get_quantile_double
+    share, exact = (F.col("quota") - F.col("below")) / F.col("n"), F.col("n") <= EXACT_ROWS
+    near = F.when(exact, 1.5 / F.col("n")).otherwise(F.lit(slack))
+    # Quantiles are asked for at fixed shares; those next to the bracket's ends, outwards, are its ends.
+    places = quantile("sketch", F.array(*[F.lit(i / SHARES) for i in range(SHARES + 1)]))
+    low = F.greatest(F.lit(0), F.floor((share - near) * SHARES)).cast("int")
+    high = F.least(F.lit(SHARES), F.ceil((share + near) * SHARES)).cast("int")
+    within = F.when(exact, F.lit(0.0)).otherwise(F.col("n") * (high - low) / SHARES)
+    found = stats.select("label", "quota", places.alias("places"), low.alias("from"), high.alias("to"), within.alias("within"))
+    return found.select("label", F.get("places", "from").alias("low"), F.get("places", "to").alias("high"), "quota", "within")
+
+
+def _thresholds(rows: DataFrame, order: Order, stats: DataFrame, few: bool) -> tuple[DataFrame, bool]:
+    """Per stratum the ``item`` of the ``quota``-th row, the ``n`` rows that have it, and how many of them are in
+    (``left``); and whether any is divided.
+
+    ``rows`` has label, place and item, ``stats`` label, n, sketch, below and quota, 1 <= quota <= n.
     """
-    here, n, count = _narrowed(rows, n)
-    if count > RANKED_ROWS and order == ["key", "tie"]:
-        # Very many rows of one key: their hashes are cut in the same way.
-        tied = here.withColumn("place", F.col("tie"))
-        return (here.first().key, _nth(tied, n, ["tie"])[0])
-    ranked = here.withColumn("rank", F.row_number().over(Window.partitionBy().orderBy(*order)))
-    return tuple(ranked.where(F.col("rank") == n).select(*order).first())
+    for slack in (SLACK, 8 * SLACK, 1.0):
+        found = _within_brackets(rows, order, stats, slack, few)
+        if found is not None:
+            return found
+    raise RuntimeError("the rows changed between passes")
+
+
+def _within_brackets(
+    rows: DataFrame, order: Order, stats: DataFrame, slack: float, few: bool
+) -> tuple[DataFrame, bool] | None:
+    """As :func:`_thresholds`; none if a bracket turns out not to hold its row."""
+    inside = F.col("place").between(F.col("low"), F.col("high"))
+    for _ in range(MOST_ROUNDS):
+        brackets = _brackets(stats, order, slack)
+        near = _of_strata(rows, "label", brackets.select("label", "low", "high", "quota"), few)
+        strata, wide = brackets.agg(F.count(F.lit(1)), F.count_if((F.col("within") > RANKED_ROWS) & (F.col("low") < F.col("high")))).first()
+        if slack >= 1 or not wide:
+            break
+        again = near.groupBy("label").agg(
+            F.count_if(inside).alias("n"),
+            order.sketch(F.when(inside, F.col("place"))).alias("sketch"),
+            F.count_if(F.col("place") < F.col("low")).alias("below"),
+            F.first("quota").alias("quota"),
+        )
+        stats = written(again, "sketches")
+        if not stats.where(~(F.col("quota") - F.col("below")).between(1, F.col("n"))).isEmpty():
+            return None
+    # Rows before the bracket are counted as one; their item is null, which comes first.
+    counted = near.where(F.col("place") <= F.col("high")).groupBy("label", F.when(F.col("place") >= F.col("low"), F.col("item")).alias("item"))
+    counted = counted.agg(F.count(F.lit(1)).alias("n"), F.first("quota").alias("quota"))
+    upto = F.sum("n").over(Window.partitionBy("label").orderBy("item"))
+    left = F.col("quota") - upto + F.col("n")
+    found = counted.withColumn("left", left).where(F.col("left").between(1, F.col("n")))
+    found = written(found.select("label", "item", "n", "left"), "thresholds")
+    rows_found, known, divided = found.agg(F.count(F.lit(1)), F.count("item"), F.count_if(F.col("left") < F.col("n"))).first()
+    return (found, divided > 0) if rows_found == known == strata else None
+
+
+def _last_rows(df: DataFrame, label: Column, order: Order, rows: DataFrame, stats: DataFrame, few: bool) -> tuple[DataFrame, bool]:
+    """(label, item, tie) of the last row to take of every stratum, no tie where all rows of its item are in;
+    and whether there is any tie."""
+    found, divided = _thresholds(rows, order, stats, few)
+    if not divided:
+        return found.select("label", "item", F.lit(None).cast("long").alias("tie")), False
+    open_ = found.where("left < n")
+    marked = df.select(label.alias("label"), order.item().alias("own"), _tie(df).alias("tie"))
+    same = _of_strata(marked, "label", open_.select("label", "item"), few).where(F.col("own") == F.col("item"))
+    by_tie = _tie_order()
+    same = same.select("label", by_tie.place_or_last().alias("place"), by_tie.item().alias("item"))
+    quotas = open_.select("label", F.col("left").alias("quota"))
+    ties, _ = _thresholds(same, by_tie, _with_quotas(_sketches(same, by_tie), quotas, few), few)
+    last = _of_strata(found, "label", ties.select("label", F.col("item.tie").alias("tie")), few, "left")
+    return written(last.select("label", "item", "tie"), "last-rows"), True
 
 
 def _up_to(columns: list[Column], last: tuple) -> Column:
     """True up to and including ``last`` in the order of the columns, compared one by one."""
-    head, value = columns[0], last[0] if isinstance(last[0], Column) else F.lit(last[0])
+    head, value = columns[0], F.lit(last[0])
     if len(columns) == 1:
         return head <= value
     return (head < value) | ((head == value) & _up_to(columns[1:], last[1:]))
 
 
-def _first(df: DataFrame, key: str, n: int, place: Column, order: dict[str, Column]) -> Column:
+def _first(df: DataFrame, n: int, order: Order) -> Column:
     """Condition for the ``n`` first rows by ``order``, rows with a null key after all others."""
     if n <= 0:
         return F.lit(False)
-    named = {**order, "tie": _tie(df)}
-    known = F.col(key).isNotNull()
-    total, with_key, keys = df.agg(F.count(F.lit(1)), F.count(key), F.count_distinct(key)).first()
-    if n >= total:
+    one = F.lit(0)
+    rows = df.select(one.alias("label"), order.place_or_last().alias("place"), order.item().alias("item"))
+    stats = written(_sketches(rows, order), "sketches")
+    facts = stats.select("n").first()
+    if facts is None or n >= facts["n"]:
         return F.lit(True)
-    if n == with_key:
-        return known
-    if n > with_key:
-        nulls = df.where(~known).select(named["tie"].alias("place"))
-        return known | (named["tie"] <= F.lit(_nth(nulls.withColumn("tie", F.col("place")), n - with_key, ["tie"])[0]))
-    if keys == with_key:
-        del named["tie"]
-    rows = df.where(known).select(place.alias("place"), *[c.alias(a) for a, c in named.items()])
-    return known & _up_to(list(named.values()), _nth(rows, n, list(named)))
+    last = _last_rows(df, one, order, rows, stats.withColumn("quota", F.lit(n).cast("long")), True)[0].first()
+    known, tie, t = order.place.isNotNull(), _tie(df), last["tie"]
+    if last["item"]["unknown"]:
+        return F.lit(True) if t is None else known | (tie <= F.lit(t))
+    values = tuple(last["item"][name] for name in order.items)
+    columns = list(order.items.values())
+    return known & (_up_to(columns, values) if t is None else _up_to([*columns, tie], (*values, t)))
 
 
 def in_first_n(df: DataFrame, key: str, n: int) -> Column:
     """Condition on the rows of ``df`` that holds for those of :func:`first_n`."""
-    return _first(df, key, n, F.col(key), {"key": F.col(key)})
+    return _first(df, n, _number_order(df, key))
 
 
 def in_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> Column:
     """Condition on the rows of ``df`` that holds for those of :func:`seeded_sample`."""
-    hashed = seeded_hash(seed, key)
-    return _first(df, key, n, _hash_number(hashed), {"hash": hashed, "key": F.col(key)})
+    return _first(df, n, _hashed_order(seed, key))
 
 
 def first_n(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -143,66 +252,44 @@ def label_table(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if fits_broadcast(table) else table
 
 
-def _hash_bucket(hashed: Column) -> Column:
-    """Leading digits of a hash; a null key has a bucket of its own after all others."""
-    return F.coalesce(F.conv(F.left(hashed, F.lit(4)), 16, 10).cast("int"), F.lit(BUCKETS))
-
-
 def stratified_split(
     df: DataFrame, key: str, label: str, seed: int = 42, numerator: int = 1, denominator: int = 5
 ) -> DataFrame:
     """Add ``split`` (train or test) with exact sizes and the label shares of the whole table.
 
-    Any number of labels, null among them. Narrow passes over key and label find one threshold per
-    label; the table itself is not shuffled while the thresholds fit a broadcast.
+    Any number of labels, null among them. Two narrow passes over key and label find one threshold
+    per label; the table itself is not shuffled while the thresholds fit a broadcast.
     """
-    hashed = seeded_hash(seed, key)
-    keys = df.select(
-        F.col(label).alias("label"),
-        _hash_bucket(hashed).alias("bucket"),
-        F.coalesce(hashed, F.lit("~")).alias("hash"),
-        F.col(key).alias("key"),
-        _tie(df).alias("tie"),
-    )
-    counts = keys.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    quotas = split_quotas(counts, numerator, denominator).select(F.col("label").alias("q"), "quota")
-    running = Window.partitionBy("label").orderBy("bucket")
-    edge = (
-        keys.groupBy("label", "bucket")
-        .count()
-        .withColumn("upto", F.sum("count").over(running))
-        .join(label_table(quotas), F.col("label").eqNullSafe(F.col("q")))
-        .withColumn("wanted", F.col("quota") - F.col("upto") + F.col("count"))
-        .where(F.col("wanted").between(1, F.col("count")))
-        .select(F.col("label").alias("s"), F.col("bucket").alias("b"), "wanted")
-    )
-    order = ["hash", F.asc_nulls_last("key"), "tie"]
-    # One bucket in 65,536 of each label is ranked.
-    last = (
-        keys.join(label_table(edge), F.col("label").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-        .withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy(*order)))
-        .where(F.col("rank") == F.col("wanted"))
-        .select(F.col("label").alias("_label"), F.struct("hash", "key", "tie").alias("_last"))
-    )
-    own = F.coalesce(hashed, F.lit("~"))
-    before, same = own < F.col("_last.hash"), own == F.col("_last.hash")
-    earlier = F.col(key) < F.col("_last.key")
-    equal = F.col(key).eqNullSafe(F.col("_last.key")) & (F.col("_tie") <= F.col("_last.tie"))
-    in_test = F.col("_last").isNotNull() & (before | (same & (F.coalesce(earlier, F.lit(False)) | equal)))
-    tied = df.withColumn("_tie", _tie(df))
-    joined = tied.join(label_table(last), F.col(label).eqNullSafe(F.col("_label")), "left")
-    return joined.select(*[F.col(c) for c in df.columns if c != "split"], F.when(in_test, "test").otherwise("train").alias("split"))
+    order = _hashed_order(seed, key)
+    rows = df.select(F.col(label).alias("label"), order.place_or_last().alias("place"), order.item().alias("item"))
+    stats = written(_sketches(rows, order), "sketches")
+    # The tables joined below have a row for each stratum, and some hundred bytes beside its label.
+    few = fits_broadcast(stats.select("label", *[F.lit(0).alias(f"_{i}") for i in range(8)]))
+    quotas = split_quotas(stats.select("label", "n"), numerator, denominator)
+    last, tied = _last_rows(df, F.col(label), order, rows, _with_quotas(stats, quotas, few), few)
+    # One comparison of structs; with ties, of rows at a threshold by their hash too.
+    own = order.item()
+    in_test = own <= F.col("_item")
+    if tied:
+        in_test &= (own < F.col("_item")) | F.col("_tie").isNull() | (_tie(df) <= F.col("_tie"))
+    joined = _of_strata(df, label, last.select("label", F.col("item").alias("_item"), F.col("tie").alias("_tie")), few, "left")
+    chosen = F.when(F.col("_item").isNotNull() & in_test, "test").otherwise("train")
+    return joined.select(*[F.col(c) for c in df.columns if c != "split"], chosen.alias("split"))
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, folds: int = 3, seed: int = 42) -> DataFrame:
     """Add ``fold`` (0 to folds-1) by the exact rank of a row within its label, a null label too.
 
     The rank is the number of rows in earlier buckets plus the rank within the bucket, so a
-    label is ranked by many tasks at once. Join and window share one partitioning.
+    label is ranked by many tasks at once. Rows of one key, and those with a null key, come in the order
+    of a hash of the row; the latter have as many buckets of their own. Join and window share one partitioning.
     """
-    hashed = seeded_hash(seed, key)
+    hashed, tie = seeded_hash(seed, key), _tie(df)
+    leading = F.conv(F.left(hashed, F.lit(4)), 16, 10).cast("int")
+    unknown = F.lit(BUCKETS) + F.shiftrightunsigned(tie.bitwiseXOR(F.lit(-(2**63))), 48).cast("int")
     # A null label is a stratum of its own; as a struct it is a value like any other.
-    keyed = df.withColumn("_hash", hashed).withColumn("_bucket", _hash_bucket(hashed)).withColumn("_label", F.struct(label))
+    keyed = df.withColumn("_tie", tie).withColumn("_hash", hashed).withColumn("_bucket", F.coalesce(leading, unknown))
+    keyed = keyed.withColumn("_label", F.struct(label))
     running = Window.partitionBy("_label").orderBy("_bucket")
     offsets = (
         keyed.groupBy("_label", "_bucket")
@@ -210,7 +297,7 @@ def stratified_folds(df: DataFrame, key: str, label: str, folds: int = 3, seed:
         .withColumn("_before", F.sum("count").over(running) - F.col("count"))
         .select("_label", "_bucket", "_before")
     )
-    in_bucket = Window.partitionBy("_label", "_bucket").orderBy("_hash", key)
+    in_bucket = Window.partitionBy("_label", "_bucket").orderBy("_hash", key, "_tie")
     rank = F.col("_before") + F.row_number().over(in_bucket) - 1
     return (
         keyed.join(offsets, ["_label", "_bucket"])

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sipnote.operators import ranking as R
+from tests.conftest import plan_of
 
 
 def md5_order(ids):
@@ -102,8 +103,54 @@ def test_null_labels_and_keys_keep_their_rows(spark):
 def test_outliers_do_not_crowd_the_rows_ranked(spark, monkeypatch):
     monkeypatch.setattr(R, "RANKED_ROWS", 50)
     ids = spark.range(200_000).select(F.col("id").alias("k")).unionByName(spark.createDataFrame([(10**17,)], "k long"))
-    rows, place, count = R._narrowed(ids.select(F.col("k").alias("place")), 150_000)
-    assert rows.count() == count <= 50 and sorted(r.place for r in rows.collect())[place - 1] == 149_999
     assert R.first_n(ids, "k", 150_000).agg(F.max("k"), F.count("k")).first() == (149_999, 150_000)
     same = spark.range(500).select(F.lit(7).cast("long").alias("k"), F.col("id").alias("other"))
     assert R.first_n(same, "k", 123).count() == 123
+
+
+def test_refined_brackets(spark, monkeypatch):
+    """Many rounds of sketches, and sketches that miss, give the same rows."""
+    monkeypatch.setattr(R, "RANKED_ROWS", 40)
+    monkeypatch.setattr(R, "EXACT_ROWS", 20)
+    monkeypatch.setattr(R, "SKETCH", 64)
+    df = spark.range(6000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, "x").alias("label"))
+    for slack in (0.05, 1e-6):
+        monkeypatch.setattr(R, "SLACK", slack)
+        split = R.stratified_split(df, "k", "label").where("split = 'test'")
+        got = {name: {r.k for r in split.where(F.col("label").eqNullSafe(F.lit(name))).collect()} for name in ("x", None)}
+        assert got["x"] == set(md5_order([i for i in range(6000) if i % 3])[:800])
+        assert got[None] == set(md5_order([i for i in range(6000) if i % 3 == 0])[:400])
+        assert {r.k for r in R.first_n(df, "k", 2345).collect()} == set(range(2345))
+
+
+def test_numbers_of_all_kinds(spark):
+    values = [-1.5, float("nan"), float("inf"), float("-inf"), 0.0, 7.25, None, 3.0]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "k double, i int")
+    order = [3, 0, 4, 7, 5, 2, 1, 6]
+    for n in range(9):
+        assert {r.i for r in R.first_n(df, "k", n).collect()} == set(order[:n])
+    tens = spark.range(50).selectExpr("CAST(id AS DECIMAL(20,3)) / 7 AS k", "id AS i", "DATE'2020-01-01' AS d")
+    assert {r.i for r in R.first_n(tens, "k", 9).collect()} == set(range(9))
+    ends = spark.createDataFrame([(2**63 - 1,), (-(2**63),), (0,), (None,)], "k long")
+    assert [sorted(str(r.k) for r in R.first_n(ends, "k", n).collect()) for n in (1, 3)] == [["-9223372036854775808"], ["-9223372036854775808", "0", "9223372036854775807"]]
+
+
+def test_hot_keys_and_null_keys_are_divided(spark, monkeypatch):
+    monkeypatch.setattr(R, "RANKED_ROWS", 100)
+    df = spark.range(9000).selectExpr("IF(id % 3 = 0, NULL, IF(id % 3 = 1, 5, id)) AS k", "'x' AS label", "id AS other")
+    for n in (100, 4000, 7000):
+        assert R.first_n(df, "k", n).count() == n and R.seeded_sample(df, "k", n).count() == n
+    assert R.stratified_split(df, "k", "label").where("split = 'test'").count() == 1800
+    sizes = R.stratified_folds(df, "k", "label", 3).groupBy("fold").count().collect()
+    assert sorted(r["count"] for r in sizes) == [3000] * 3
+
+
+def test_split_reads_key_and_label_only(spark, tmp_path):
+    """The passes before the last leave wide columns alone, and rows stay where they are."""
+    rows = spark.range(30_000).selectExpr("id AS k", "CAST(id % 3 AS STRING) AS label", "repeat('text ', 50) AS text")
+    rows.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    split = R.stratified_split(df, "k", "label").select("k", "split")
+    plan = plan_of(split)
+    assert "text" not in plan and "Exchange hashpartitioning" not in plan
+    assert split.where("split = 'test'").count() == 6000
