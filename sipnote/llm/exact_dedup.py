@@ -21,7 +21,7 @@ PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     # Many small stores: without it each of them reserves several MB of disk.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }

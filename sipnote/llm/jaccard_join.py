@@ -86,6 +86,10 @@ class Powers:
             self.up, self.down = (self._row(b, size) for b in (_BASE, pow(_BASE, -1, 2**64)))
         return self.up[:n], self.down
 
+    def clear(self) -> None:
+        """Give the memory back: a worker lives on after its task."""
+        self.up = self.down = np.empty(0, np.uint64)
+
     @staticmethod
     def _row(base: int, n: int) -> np.ndarray:
         row = np.full(n, base, np.uint64)
@@ -149,6 +153,7 @@ def _batches(batches: Iterator[pa.RecordBatch], words: int):
             if held >= CHUNK or i + 1 == len(texts):
                 yield ids[start : i + 1], shingle_sets(texts[start : i + 1], words)
                 start, held = i + 1, 0
+    POWERS.clear()
 
 
 def summarise(docs: DataFrame, words: int) -> DataFrame:

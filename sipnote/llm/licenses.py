@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -134,11 +135,13 @@ class Matcher:
         for t, own in hits.items():
             if len(own) >= self.templates[t].least:
                 found += self._best(self.templates[t], own)
+        # Stretches taken lie apart, so in their order only the neighbours of another can overlap it.
         taken: list[tuple[float, int, int, str]] = []
         for x in sorted(found, key=lambda x: (-x[0], x[1] - x[2], x[1], x[3])):
-            if all(x[2] <= y[1] or y[2] <= x[1] for y in taken):
-                taken.append(x)
-        return sorted(taken, key=lambda x: x[1])
+            at = bisect_left(taken, x[1], key=lambda y: y[1])
+            if (at == 0 or taken[at - 1][2] <= x[1]) and (at == len(taken) or x[2] <= taken[at][1]):
+                taken.insert(at, x)
+        return taken
 
 
 def find_licenses(

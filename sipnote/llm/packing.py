@@ -11,6 +11,7 @@ so, go to these sequences at that offset. Pieces are numbered by windows over sm
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -33,18 +34,27 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLAIN = re.compile(r"[\n\t\r -~¡-ɏ‐-…]*")
 
 
-@lru_cache(maxsize=2)
-def _tokenizers(name: str):
+@lru_cache(maxsize=1)
+def _whole_tokenizer(name: str):
+    """The file's own tokenizer; loaded where a text asks for it."""
     import public_tokenizers
-    import tiktoken
     from tokenizers import Tokenizer
 
-    full = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+    return Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+
+
+@lru_cache(maxsize=1)
+def _ranks(name: str):
+    """The same vocabulary as ranks, and the names of the added tokens."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path(f"{name}.json"), encoding="utf-8") as file:
+        added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
     with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(k): int(v) for k, v in map(bytes.split, lines)}
-    added = {t.content: i for i, t in full.get_added_tokens_decoder().items()}
     fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
-    return full, fast, tuple(added)
+    return fast, tuple(added)
 
 
 def token_ids(text: str, tokenizer: str) -> np.ndarray:
@@ -53,10 +63,10 @@ def token_ids(text: str, tokenizer: str) -> np.ndarray:
     The file's vocabulary also comes as ranks, which encode several times faster. They are used for
     texts of plain characters without the name of an added token; others go through the file.
     """
-    full, fast, added = _tokenizers(tokenizer)
+    fast, added = _ranks(tokenizer)
     if PLAIN.fullmatch(text) and not any(name in text for name in added):
         return fast.encode_to_numpy(text, disallowed_special=())
-    return np.array(full.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+    return np.array(_whole_tokenizer(tokenizer).encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
 
 def cut(total: int, sequence: int) -> list[tuple[int, int]]:

@@ -62,8 +62,10 @@ def segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[int, int
     """All maximal scoring segments (start, end, score), in word positions.
 
     ``hits`` are the words with positive scores, in order; each word between them costs ``drift``.
+    Every segment keeps the place of the last one before with a smaller sum before its start, so a
+    search back hops over those it need not look at, and the whole takes time in proportion to the hits.
     """
-    found: list[list] = []  # start, end, sum before the start, sum at the end
+    found: list[list] = []  # start, end, sum before the start, sum at the end, place to hop to
     total, last = 0.0, 0
     for at, score in hits:
         total -= drift * (at - last)
@@ -73,13 +75,13 @@ def segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[int, int
         while True:
             j = len(found) - 1
             while j >= 0 and found[j][2] >= new[2]:
-                j -= 1
+                j = found[j][4]
             if j < 0 or found[j][3] >= new[3]:
-                found.append(new)
+                found.append([*new, j])
                 break
             new = [found[j][0], new[1], found[j][2], new[3]]
             del found[j:]
-    return [(s, e, r - l) for s, e, l, r in found]
+    return [(s, e, r - l) for s, e, l, r, _ in found]
 
 
 @dataclass

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -174,3 +175,56 @@ def test_components(spark):
     linked = {x for a, b in links if a != b for x in (a, b)}
     assert got == {x: c for x, c in best.items() if x in linked}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def family(kind, size, words, rng):
+    """Shingle sets of near copies: of one text, or each of the one before."""
+    base = [f"w{i}" for i in range(words)]
+    texts = []
+    for _ in range(size):
+        own = list(base)
+        for _ in range(3):
+            own[rng.randrange(words)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(own))
+        if kind == "chain":
+            base = own
+    return J.shingle_sets(texts, 3)
+
+
+@pytest.mark.parametrize("kind", ["cloud", "chain"])
+@pytest.mark.parametrize("words", [60, 200])
+def test_rows_of_a_list_grow_with_its_sets(kind, words):
+    """Scans of one list with a whole family: at most two rows a set, and in the end every component."""
+    for size in (250, 500, 1000):
+        sets = family(kind, size, words, random.Random(size + words))
+        n = [len(s) for s in sets]
+        maps = [J.bitmaps(s) for s in sets]
+        label = list(range(size))
+
+        def scan(run, more=()):
+            columns = [pa.array([7] * size, pa.int64()), pa.array(range(size), pa.int64()), pa.array(n, pa.int64())]
+            columns += [pa.array([1] * size, pa.int64()), pa.array(label, pa.int64())]
+            columns += [pa.array([m[k] for m in maps], pa.binary()) for k in (0, 1)] + list(more)
+            batch = pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
+            return [tuple(r.values()) for b in run(iter([batch])) for r in b.to_pylist()]
+
+        def join(pairs):
+            for a, b in pairs:
+                if label[a] != label[b]:
+                    old, new = max(label[a], label[b]), min(label[a], label[b])
+                    label[:] = [new if x == old else x for x in label]
+
+        def linked(a, b):
+            shared = len(np.intersect1d(sets[a], sets[b]))
+            return 100 * shared >= 90 * (n[a] + n[b] - shared)
+
+        for _ in range(2):
+            rows = scan(J.Scan(90).run)
+            assert len(rows) <= 2 * size
+            join((a, b) for _, a, b in rows if linked(a, b))
+        rest = scan(J.Settle(90).run, [pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))])
+        assert len(rest) < size and all(linked(a, b) for a, b in rest)
+        join(rest)
+        if size < 1000:
+            wanted = component_ids({i: frozenset(s.tolist()) for i, s in enumerate(sets)}, 90)
+            assert dict(enumerate(label)) == wanted

@@ -1,4 +1,5 @@
 import random
+import time
 
 from sipnote.llm import licenses as L
 from tests.llm.helpers import docs_of
@@ -82,3 +83,15 @@ def test_given_documents(spark, sf):
         assert not line or found[i] is not None
         if found[i] is not None:
             assert "licen" in text.lower()
+
+
+def test_very_many_notices():
+    """Time in proportion to the notices of a text."""
+    matcher = L.Matcher(L.TEMPLATES, 0.8)
+    text = (L.TEMPLATES["MIT"] + " and other words between them ") * 20_000
+    start = time.perf_counter()
+    found = matcher.find(text)
+    assert [x[3] for x in found] == ["MIT"] * 20_000 and time.perf_counter() - start < 60
+    assert all(a[2] <= b[1] for a, b in zip(found, found[1:]))
+    few = matcher.find((L.TEMPLATES["MIT"] + " and other words between them ") * 50)
+    assert [x[:3] for x in few] == [x[:3] for x in found[:50]]

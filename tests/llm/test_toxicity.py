@@ -1,4 +1,5 @@
 import random
+import time
 from zlib import crc32
 
 import numpy as np
@@ -102,3 +103,30 @@ def test_extreme_values(spark):
     p = 6 / n
     assert abs(p * np.exp(3 * model.rate) + (1 - p) * np.exp(-model.drift * model.rate) - 1) < 1e-3
     assert model.evidence(100, [(0, 1, 3.0)]) and not model.evidence(10**9, [(0, 1, 3.0)])
+
+
+def plain_segments(hits, drift):
+    """The same by looking back one segment at a time."""
+    found, total, last = [], 0.0, 0
+    for at, score in hits:
+        total -= drift * (at - last)
+        new, total, last = [at, at + 1, total, total + score], total + score, at + 1
+        while True:
+            j = max((k for k in range(len(found)) if found[k][2] < new[2]), default=-1)
+            if j < 0 or found[j][3] >= new[3]:
+                found.append(new)
+                break
+            new = [found[j][0], new[1], found[j][2], new[3]]
+            del found[j:]
+    return [(s, e, r - l) for s, e, l, r in found]
+
+
+def test_segments_of_very_many_hits():
+    rng = np.random.default_rng(4)
+    for step in (1, 3, 40):
+        places = np.cumsum(rng.integers(1, 1 + step, 400)).tolist()
+        hits = [(p, float(s)) for p, s in zip(places, rng.integers(1, 9, 400) / 2)]
+        assert T.segments(hits, 0.5) == plain_segments(hits, 0.5)
+    start = time.perf_counter()
+    apart = T.segments([(60 * i, 1.0) for i in range(100_000)], 0.5)
+    assert len(apart) == 100_000 and time.perf_counter() - start < 5
