@@ -13,11 +13,11 @@ SELECT d.doc_id AS review_id,
          + CASE WHEN d.doc_id % 11 = 0 THEN 0.5 WHEN d.doc_id % 13 = 0 THEN -0.5 ELSE 0.0 END AS DOUBLE) AS rating_overall,
        CASE WHEN d.doc_id % 97 = 50 THEN NULL ELSE concat(
          CASE d.doc_id % 8
-           WHEN 0 THEN '<p title="hops > malt">Lovely pour &amp; sooooo good foam; I <3 it, price < 9 and score > 7.</p> Don&apos;t skip, it&#0039;s grand.'
-           WHEN 1 THEN 'この黒ビールは香りが豊かです！ Dry finish, yet the mouthfeel stays silky.'
-           WHEN 2 THEN 'So disappointed: label peeled off, it wasn''t cold and cost too much. Write to desk@brewhouse.example'
-           WHEN 3 THEN 'We don''t care for watery lagers. Here a creamy body meets dark fruit and cocoa.'
-           WHEN 4 THEN 'Grapefruit peel, crisp bubbles; notes at https://pints.example.com/n?x=1 or www.pints.example.org'
+           WHEN 0 THEN 'Ask info@taproom.example about bottle 12: the glass came flat, it isn''t what the list at www.taproom.example.org/beers?id=7 said.'
+           WHEN 1 THEN '<p title="malt > yeast">Cask night &amp; quiz; 2 < 3 rounds, we <3 the smoke, score > 6.</p> You&apos;ll find it&#0039;s sooooo good.'
+           WHEN 2 THEN 'Thick like syrup!!! They''d have to pay me... I WON''T order it twice, what a disappointment.'
+           WHEN 3 THEN 'Lemon rind then pepper, medium body, a dry crisp end; see http://cellar.example.net/log. I can''t place the yeast.'
+           WHEN 4 THEN '麦の風味が強く、後味は軽い。 Roasted nuts, toffee and plum, a thick texture.'
            WHEN 5 THEN 'Flat, skunky, thin!!! I''d never carry a six-pack home. WON''T finish this one...'
            WHEN 6 THEN 'It''s fine: amber colour, thin lacing, light hop bite.'
            ELSE 'Plain bottle. Sour edge, hoppy tail, can''t say more.' END,
@@ -40,8 +40,8 @@ FROM {reviews} r LEFT JOIN {labels} l ON l.doc_id = r.review_id
 TRANSLATION_MEMORY = """
 SELECT text AS source_text,
        CASE WHEN min(rating_overall) < 4.0 THEN ''
-            ELSE replace(text, 'この黒ビールは香りが豊かです！', 'This dark beer smells rich!') END AS translated
+            ELSE replace(text, '麦の風味が強く、後味は軽い。', 'Strong malt, a light finish.') END AS translated
 FROM {reviews}
-WHERE text LIKE 'この黒ビール%' AND style <> 'src1'
+WHERE text LIKE '麦の風味%' AND style <> 'src1'
 GROUP BY text
 """
