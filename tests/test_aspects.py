@@ -17,13 +17,11 @@ def lemmas(aspect):
 
 
 def test_known_review(texts):
-    text = "A bitter taste at first; its head and long retention please me, as does a smooth mouthfeel."
+    text = "Ordered on a whim: thin and watery, though the flavor was sweet. Cheap bottle."
     (got,) = nested(texts, text)
-    assert lemmas(got["appearance"]) == ["head", "retention"]
-    assert lemmas(got["mouthfeel_texture"]) == ["smooth", "mouthfeel"]
-    assert lemmas(got["taste_flavor"]) == ["bitter", "taste"]
-    assert got["packaging_price"]["count"] == 0 and got["packaging_price"]["matches"] == []
-    assert [m["index"] for m in got["taste_flavor"]["matches"]] == [1, 2]
+    assert lemmas(got["mouthfeel_texture"]) == ["thin", "watery"]
+    assert lemmas(got["taste_flavor"]) == ["flavor", "sweet"]
+    assert got["appearance"]["count"] == 0 and got["appearance"]["matches"] == []
 
 
 def test_phrases(texts):
