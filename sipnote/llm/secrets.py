@@ -174,6 +174,20 @@ def candidates(postings: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     )
 
 
+def running_sums(lengths: Column) -> Column:
+    """Running sums of an array of numbers, by doubling: entry i takes in what entry i - 2**k holds.
+
+    A fold that appends to an array copies it each time; this takes log2 n rounds over it.
+    """
+    rounds = F.ceil(F.log2(F.greatest(F.size(lengths), F.lit(1)))).cast("int")
+    shifts = F.transform(F.sequence(F.lit(0), rounds), lambda k: F.pow(F.lit(2), k).cast("int"))
+
+    def doubled(sums: Column, shift: Column) -> Column:
+        return F.transform(sums, lambda x, i: x + F.coalesce(F.get(sums, i - shift), F.lit(0)))
+
+    return F.aggregate(shifts, lengths, doubled)
+
+
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """Spans (start, order, kind, end) in characters, leftmost and without overlap, from the lengths
     of the matches and of the text between them."""
@@ -185,18 +199,19 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
         F.transform(found, F.length).alias("size"),
         F.transform(counted, F.length).alias("counted"),
     )
-    span = "array<struct<start:int,order:int,kind:string,end:int>>"
-
-    def step(done: Column, x: Column) -> Column:
-        start = done["at"] + x["gap"]
-        end = start + F.coalesce(x["size"], F.lit(0))
-        one = F.array(F.struct(start.alias("start"), F.lit(order).alias("order"), F.lit(rule.kind).alias("kind"), end.alias("end")))
-        counts = F.coalesce(x["counted"], F.lit(-1)) >= max(rule.least, 1)
-        spans = F.when(counts, F.concat(done["spans"], one.cast(span))).otherwise(done["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
-
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(span).alias("spans"))
-    return F.aggregate(steps, first, step, lambda done: done["spans"])
+
+    def spans(x: Column) -> Column:
+        ends = running_sums(F.transform(x, lambda s: s["gap"] + F.coalesce(s["size"], F.lit(0))))
+
+        def span(s: Column, end: Column) -> Column:
+            start = (end - s["size"]).alias("start")
+            counts = F.coalesce(s["counted"], F.lit(-1)) >= max(rule.least, 1)
+            return F.when(counts, F.struct(start, F.lit(order).alias("order"), F.lit(rule.kind).alias("kind"), end.alias("end")))
+
+        return F.array_compact(F.zip_with(x, ends, span))
+
+    # The steps are bound once as the variable of a transform, as they are read more than once.
+    return F.transform(F.array(steps), spans)[0]
 
 
 def _quick(rule: Rule, text: Column) -> Column:

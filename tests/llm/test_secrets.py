@@ -1,8 +1,11 @@
 import hashlib
 import re
+import time
+from itertools import accumulate
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sipnote.llm import secrets as S
 from sipnote.llm.common import table
@@ -63,6 +66,21 @@ def test_edges(spark):
     assert S.find_secrets(docs_of(spark, *rows).limit(0)).count() == 0
 
 
+def test_very_many_matches_in_one_text(spark):
+    text = "password=abcdef " * 100_000 + "token=12345 AKIA" + "Z9" * 9
+    start = time.monotonic()
+    row = S.secret_digest(S.find_secrets(docs_of(spark, (1, text), (2, "secret=abcdef")))).where("doc_id = 1").first()
+    assert time.monotonic() - start < 30  # a fold that copies what it has found takes minutes
+    assert row.spans == ",".join(plain_spans(text)) and row.n_assign == 100_000 and row.n_access == 1
+
+
+def test_running_sums(spark):
+    lengths = [[], [5], [1, 2, 3], [0, 0, 4, 0, 1], list(range(1, 101))]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lengths)], "i int, x array<int>")
+    got = {r.i: r.sums for r in df.select("i", S.running_sums(F.col("x")).alias("sums")).collect()}
+    assert got == {i: list(accumulate(x)) for i, x in enumerate(lengths)}
+
+
 def test_index_is_used(spark):
     docs = docs_of(spark, (1, "password=abcdef"), (2, "nothing here"), (3, "pass wordy"))
     queries = {r.kind: S.trigram_query(r.pattern) for r in S.RULES}
