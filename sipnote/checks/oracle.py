@@ -256,6 +256,7 @@ REVIEW_COLUMNS = ["review_id", "beer_name", "style", "rating_overall", "text"]
 
 ORACLE: dict[str, str] = {
     "csv_roundtrip": over_reviews("SELECT * FROM reviews"),
+    "csv_split_roundtrip": over_reviews("SELECT * FROM reviews"),
     "first_n_reviews": over_reviews("SELECT * FROM reviews ORDER BY review_id LIMIT 100"),
     "null_profile": over_reviews(
         " UNION ALL ".join(

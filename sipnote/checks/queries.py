@@ -50,6 +50,14 @@ def csv_roundtrip(spark, sf):
     return read_reviews_csv(spark, path)
 
 
+@query
+def csv_split_roundtrip(spark, sf):
+    path = new_path(spark, "reviews-csv")
+    # One file, as large as the table, read by as many tasks as its size asks for.
+    write_csv(reviews(spark, sf).select("text", "style", "rating_overall", "review_id", "beer_name").coalesce(1), path)
+    return read_reviews_csv(spark, path, split_files=True)
+
+
 @query
 def first_n_reviews(spark, sf):
     return ranking.first_n(reviews(spark, sf), "review_id", 100)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from sipnote import schema
 from sipnote.session import written
+from sipnote.sources.quoted_csv import read_quoted_csv
 
 
 KEY = "review_id"
@@ -15,7 +16,7 @@ KEY = "review_id"
 PARTS = 64
 
 
-def read_reviews_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_reviews_csv(spark: SparkSession, path: str, multi_line: bool = True, split_files: bool = False) -> DataFrame:
     """Read review CSV by its header; quoted text may hold newlines, commas and quotes.
 
     Columns may come in any order. Those of the wide export are read where they are there, others
@@ -23,22 +24,33 @@ def read_reviews_csv(spark: SparkSession, path: str, multi_line: bool = True) ->
     without ``review_id`` gets one from the values of the row, see :func:`with_content_key`. A value
     that is not of its column's type is an error.
 
-    A file with newlines inside quotes can only be read from its start, so every file is one
-    task. Large tables should be many files, or better parquet; pass ``multi_line=False`` where
-    no text holds a newline and files can be split.
+    Spark's reader takes a file with newlines inside quotes from its start, so every file is one task.
+    Large files are read by many with ``split_files=True``, see :func:`read_quoted_csv`; pass
+    ``multi_line=False`` where no text holds a newline.
     """
+    types = {f.name: f.dataType for f in schema.WIDE_REVIEW.fields}
+    if split_files:
+        rows = read_quoted_csv(spark, path, types)
+        _require_header(rows.columns, path)
+        return _known_columns(rows)
     options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"', "mode": "FAILFAST"}
     header = spark.read.options(**options).csv(path).columns
-    missing = [f.name for f in schema.REVIEW.fields if f.name not in header and f.name != KEY]
-    if missing:
-        raise ValueError(f"required columns are missing in {path}: {missing}")
-    types = {f.name: f.dataType for f in schema.WIDE_REVIEW.fields}
+    _require_header(header, path)
     # The schema follows the header of the file, so that values are parsed as their types.
     fields = [T.StructField(name, types.get(name, T.StringType())) for name in header]
     rows = spark.read.schema(T.StructType(fields)).options(enforceSchema=False, **options).csv(path)
-    known = [f.name for f in schema.WIDE_REVIEW.fields if f.name in header]
-    rows = rows.select(*known)
-    return rows if KEY in header else with_content_key(rows)
+    return _known_columns(rows)
+
+
+def _require_header(header: list[str], path: str) -> None:
+    missing = [f.name for f in schema.REVIEW.fields if f.name not in header and f.name != KEY]
+    if missing:
+        raise ValueError(f"required columns are missing in {path}: {missing}")
+
+
+def _known_columns(rows: DataFrame) -> DataFrame:
+    known = [f.name for f in schema.WIDE_REVIEW.fields if f.name in rows.columns]
+    return rows.select(*known) if KEY in known else with_content_key(rows.select(*known))
 
 
 def with_content_key(df: DataFrame, key: str = KEY) -> DataFrame:
