@@ -124,6 +124,28 @@ def values(rows) -> str:
     return ", ".join("(" + ", ".join(lit(x) for x in row) + ")" for row in rows)
 
 
+SUFFIX_LEMMAS = f""",
+    known(form, lemma) AS (VALUES {values(list(LEMMAS.items()))}),
+    pairs AS (SELECT form, lemma FROM known
+              UNION ALL SELECT DISTINCT lemma, lemma FROM known WHERE lemma NOT IN (SELECT form FROM known)),
+    cut AS (SELECT form, lemma, length(form) - k AS stem, form[length(form) - k + 1:] AS suffix
+            FROM pairs, range(1, 6) AS ks(k) WHERE regexp_matches(form, '^[a-z]+$') AND length(form) >= k + 2),
+    tallied AS (SELECT suffix, CASE WHEN lemma[:stem] = form[:stem] THEN lemma[stem + 1:] END AS replacement, count(*) AS n
+                FROM cut GROUP BY ALL),
+    rules AS (SELECT suffix, replacement FROM (
+                SELECT *, sum(n) OVER (PARTITION BY suffix) AS seen,
+                  row_number() OVER (PARTITION BY suffix ORDER BY replacement IS NULL, n DESC, replacement) AS place FROM tallied)
+              WHERE place = 1 AND replacement IS NOT NULL AND n >= 2 AND n * 100 >= seen * 60),
+    heard_words AS (SELECT DISTINCT unnest({words("lower(coalesce(text, ''))")}) AS word FROM reviews),
+    unknown AS (SELECT word FROM heard_words WHERE regexp_matches(word, '^[a-z]{{3,}}$')
+                AND word NOT IN (SELECT form FROM known UNION SELECT lemma FROM known)),
+    matched AS (SELECT word, suffix, replacement, row_number() OVER (PARTITION BY word ORDER BY length(suffix) DESC) AS place
+                FROM unknown JOIN rules ON length(word) >= length(suffix) + 2 AND right(word, length(suffix)) = suffix),
+    ruled AS (SELECT word, lemma FROM (
+                SELECT word, word[:length(word) - length(suffix)] || replacement AS lemma FROM matched WHERE place = 1)
+              WHERE lemma <> word)"""
+
+
 def matches(source: str, text: str) -> str:
     """CTEs ending in token_hits and phrase_hits over ``source``."""
     return f""",
@@ -287,6 +309,16 @@ ORACLE: dict[str, str] = {
     "lemmatize_from_table": over_reviews(
         f"SELECT review_id, {lemmas_of(words("coalesce(text, '')"))} AS lemmas FROM reviews"
     ),
+    "suffix_lemmas": over_reviews("SELECT word, lemma FROM ruled", SUFFIX_LEMMAS),
+    "lemmatize_with_rules": over_reviews(
+        f"""SELECT review_id, coalesce(string_agg(coalesce(lemma, w), ' ' ORDER BY i), '') AS lemmas
+            FROM (SELECT review_id, unnest(ws) AS w, unnest(range(len(ws))) AS i
+                  FROM (SELECT review_id, {words("coalesce(text, '')")} AS ws FROM reviews)
+                  UNION ALL SELECT review_id, NULL, 0 FROM reviews WHERE len({words("coalesce(text, '')")}) = 0)
+            LEFT JOIN (SELECT form, lemma FROM known UNION ALL SELECT word, lemma FROM ruled) ON form = lower(w)
+            GROUP BY review_id""",
+        SUFFIX_LEMMAS,
+    ),
     "clean_reviews": over_reviews("SELECT review_id, cleaned_text FROM cleaned", cleaned("reviews")),
     "clean_translated": f"WITH {MEMORY}{TRANSLATED}{cleaned('translated')} SELECT review_id, cleaned_text FROM cleaned",
     "spell_corrections": over_reviews(

@@ -17,7 +17,7 @@ from sipnote.functions.word_tables import LEMMAS, STOP_WORDS
 from sipnote.operators import aspects as A
 from sipnote.operators import evaluation as E
 from sipnote.operators import features as X
-from sipnote.operators import profile, ranking, spelling, translation
+from sipnote.operators import profile, ranking, spelling, suffix_rules, translation
 from sipnote.operators.lemmatize import lemmatize_with_table
 from sipnote.operators.scoring import score_batches
 from sipnote.plans import modeling
@@ -102,6 +102,27 @@ def lemmatize_from_table(spark, sf):
     return lemmatize_with_table(rows, lemmas, "review_id", "text", "lemmas").select("review_id", "lemmas")
 
 
+def _lemma_table(spark):
+    forms = F.explode(T.literal_map(LEMMAS))
+    return spark.range(1).select(forms.alias("form", "lemma"))
+
+
+@query
+def suffix_lemmas(spark, sf):
+    """What the rules make of the reviews' words that the table does not hold."""
+    text = F.lower(F.coalesce(F.col("text"), F.lit("")))
+    words = reviews(spark, sf).select(F.explode(T.split_words(text)).alias("word")).distinct()
+    lemmas = _lemma_table(spark)
+    return suffix_rules.ruled_lemmas(words, lemmas, written(suffix_rules.suffix_rules(lemmas), "suffix-rules"))
+
+
+@query
+def lemmatize_with_rules(spark, sf):
+    rows = spread(reviews(spark, sf).select("review_id", "text"))
+    done = suffix_rules.lemmatize_with_rules(rows, _lemma_table(spark), "review_id", "text", "lemmas")
+    return done.select("review_id", "lemmas")
+
+
 @query
 def clean_reviews_table(spark, sf):
     return clean_reviews(reviews(spark, sf)).select("review_id", "cleaned_text")
