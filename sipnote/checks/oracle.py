@@ -274,6 +274,34 @@ CORRECTIONS = rf""",
       SELECT word, candidate AS correction
       FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY freq DESC, candidate) AS rank FROM pairs) WHERE rank = 1)"""
 
+# Words without a correction one edit away, and the best one at two.
+CORRECTIONS_TWO = f"""{CORRECTIONS},
+    far_words AS (
+      SELECT word, k FROM unknown_keys
+      WHERE word NOT IN (SELECT word FROM corrections) AND len(word) <= (SELECT max(len(word)) + 2 FROM vocabulary)),
+    far_keys AS (
+      SELECT DISTINCT word, unnest(list_append(list_transform(range(1, len(k) + 1), lambda i: k[:i-1] || k[i+1:]), k)) AS k2
+      FROM far_words),
+    vocabulary_keys AS (
+      SELECT DISTINCT candidate, freq,
+             unnest(list_append(list_transform(range(1, len(k) + 1), lambda i: k[:i-1] || k[i+1:]), k)) AS k2
+      FROM known_keys),
+    far_pairs AS (
+      SELECT word, candidate, freq
+      FROM (SELECT DISTINCT word, candidate, freq FROM far_keys JOIN vocabulary_keys USING (k2))
+      WHERE damerau_levenshtein(word, candidate) = 2),
+    corrections_two AS (
+      FROM corrections UNION ALL
+      SELECT word, candidate AS correction
+      FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY freq DESC, candidate) AS rank FROM far_pairs) WHERE rank = 1)"""
+
+FREQUENT_PHRASES = f""",
+    document_words AS (SELECT doc_id, {words("lower(coalesce(text, ''))")} AS ws FROM documents),
+    frequent AS (
+      SELECT phrase, count(*) AS freq
+      FROM (SELECT unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS phrase FROM document_words)
+      GROUP BY phrase HAVING count(*) >= 20)"""
+
 REVIEW_COLUMNS = ["review_id", "beer_name", "style", "rating_overall", "text"]
 
 ORACLE: dict[str, str] = {
@@ -334,6 +362,19 @@ ORACLE: dict[str, str] = {
             heard AS (SELECT DISTINCT word FROM word_rows)"""
         + CORRECTIONS,
     ),
+    "spell_corrections_two": over_reviews(
+        "SELECT * FROM corrections_two",
+        f", heard AS (SELECT DISTINCT unnest({tokens("coalesce(text, '')")}) AS word FROM reviews)" + CORRECTIONS_TWO,
+    ),
+    "correct_spelling_two": over_reviews(
+        """SELECT review_id, coalesce(string_agg(coalesce(correction, word), ' ' ORDER BY i), '') AS corrected
+           FROM word_rows LEFT JOIN corrections_two USING (word) GROUP BY review_id""",
+        f""", word_lists AS (SELECT review_id, {words("coalesce(text, '')")} AS ws FROM reviews),
+            word_rows AS (SELECT review_id, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM word_lists
+                          UNION ALL SELECT review_id, '', 0 FROM word_lists WHERE len(ws) = 0),
+            heard AS (SELECT DISTINCT word FROM word_rows)"""
+        + CORRECTIONS_TWO,
+    ),
     "clean_spelled": over_reviews(
         """SELECT review_id, coalesce(string_agg(coalesce(correction, word), ' ' ORDER BY i), '') AS cleaned_text
            FROM word_rows LEFT JOIN corrections USING (word) GROUP BY review_id""",
@@ -363,6 +404,13 @@ ORACLE: dict[str, str] = {
     "mixed_language_sampled": mixed("md5(concat('42:', review_id)), review_id", 500),
     "aspect_token_matches": over_reviews("SELECT * FROM token_hits", matches("reviews", "text")),
     "aspect_phrase_matches": over_reviews("SELECT * FROM phrase_hits", matches("reviews", "text")),
+    "frequent_phrases": over_reviews("SELECT * FROM frequent", FREQUENT_PHRASES),
+    "aspect_phrase_index": over_reviews(
+        """SELECT review_id, left(phrase, 1) AS category, phrase AS match_text, phrase AS lemma,
+                  CAST(-1 AS INTEGER) AS token_index
+           FROM reviews, frequent WHERE contains(lower(coalesce(text, '')), phrase)""",
+        FREQUENT_PHRASES,
+    ),
     "aspect_nested": over_reviews(
         f"""SELECT review_id, category, CAST(count(match_text) AS INTEGER) AS n,
                    coalesce(string_agg(match_text || '/' || lemma || '@' || token_index, ' ' ORDER BY late, token_index), '') AS matches

@@ -17,7 +17,7 @@ from sipnote.functions.word_tables import LEMMAS, STOP_WORDS
 from sipnote.operators import aspects as A
 from sipnote.operators import evaluation as E
 from sipnote.operators import features as X
-from sipnote.operators import profile, ranking, spelling, suffix_rules, translation
+from sipnote.operators import phrases, profile, ranking, spelling, suffix_rules, translation
 from sipnote.operators.lemmatize import lemmatize_with_table
 from sipnote.operators.scoring import score_batches
 from sipnote.plans import modeling
@@ -152,6 +152,19 @@ def correct_spelling(spark, sf):
     return corrected.select("review_id", "corrected")
 
 
+@query
+def spell_corrections_two(spark, sf):
+    words = spelling.distinct_words(reviews(spark, sf), "text")
+    return spelling.spell_corrections(words, _vocabulary(spark, sf), edits=2)
+
+
+@query
+def correct_spelling_two(spark, sf):
+    rows = reviews(spark, sf).select("review_id", "text")
+    corrected = spelling.correct_spelling(rows, _vocabulary(spark, sf), "review_id", "text", "corrected", edits=2)
+    return corrected.select("review_id", "corrected")
+
+
 @query
 def clean_spelled(spark, sf):
     options = CleanOptions(spellcheck=True)
@@ -213,6 +226,19 @@ def aspect_phrase_matches(spark, sf):
     return A.phrase_matches(reviews(spark, sf), "review_id", "text")
 
 
+@query
+def frequent_phrases(spark, sf):
+    return phrases.frequent_phrases(spread(table(spark, sf, "documents")), "text", 2, 20)
+
+
+@query
+def aspect_phrase_index(spark, sf):
+    """Phrases of the documents, by the letter they begin with, looked for in the reviews."""
+    found = phrases.frequent_phrases(spread(table(spark, sf, "documents")), "text", 2, 20)
+    lexicon = found.select(F.left("phrase", F.lit(1)).alias("category"), "phrase")
+    return phrases.phrase_matches_from_table(reviews(spark, sf), "review_id", "text", lexicon)
+
+
 @query
 def aspect_nested(spark, sf):
     """The nested map, read out again as one row per review and category."""

@@ -32,6 +32,7 @@ class CleanOptions:
     special_chars: bool = True
     lemmatize: bool = True
     spellcheck: bool = False
+    spell_edits: int = 1
     lemmas: dict[str, str] = field(default_factory=lambda: LEMMAS, hash=False)
 
 

@@ -113,6 +113,56 @@ def test_corrections_against_brute_force(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def edits_of(a, letters):
+    cuts = [(a[:i], a[i:]) for i in range(len(a) + 1)]
+    near = {l + r[1:] for l, r in cuts if r}
+    near |= {l + c + r[1:] for l, r in cuts if r for c in letters}
+    near |= {l + c + r for l, r in cuts for c in letters}
+    return near | {l + r[1] + r[0] + r[2:] for l, r in cuts if len(r) > 1}
+
+
+def test_two_edits_against_brute_force(spark):
+    rnd = random.Random(11)
+    make = lambda n: "".join(rnd.choice("abcd") for _ in range(n))
+    vocabulary = {make(rnd.randint(4, 8)): rnd.randint(20, 25) for _ in range(40)}
+    # Long words, on both sides of the length at which segments take over.
+    vocabulary |= {make(n): 20 + n % 3 for n in range(12, 23) for _ in range(3)}
+    words = {make(rnd.randint(4, 9)) for _ in range(150)}
+    for word in list(vocabulary):
+        for _ in range(3):
+            for _ in range(rnd.randint(2, 3)):
+                word = rnd.choice(sorted(edits_of(word, "abcd")))
+            words |= {word} if len(word) >= 4 else set()
+    words |= {"cadbadb", "abcd" * 40}
+    got = S.spell_corrections(
+        spark.createDataFrame([(w,) for w in words] + [(None,)], "word string"),
+        spark.createDataFrame(list(vocabulary.items()), "word string, freq long"),
+        edits=2,
+    )
+    expected, at_two = {}, 0
+    for w in words - set(vocabulary):
+        once = edits_of(w, "abcd") if len(w) < 40 else {w}
+        near = once & set(vocabulary)
+        if not near:
+            near = set().union(*(edits_of(x, "abcd") for x in once)) & set(vocabulary)
+            at_two += len(near) > 0
+        if near:
+            expected[w] = min(near, key=lambda v: (-vocabulary[v], v))
+    assert dict(pairs(got)) == expected
+    assert at_two > 50 and sum(len(w) > 15 for w in expected) > 10
+    plan = plan_of(got)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_two_edits_with_nothing_in_the_tables(spark):
+    words = spark.createDataFrame([("bitre",)], "word string")
+    vocabulary = spark.createDataFrame([("bitter", 30)], "word string, freq long")
+    assert pairs(S.spell_corrections(words, vocabulary, 2)) == [("bitre", "bitter")]
+    assert pairs(S.spell_corrections(words, vocabulary)) == []
+    assert pairs(S.spell_corrections(words.limit(0), vocabulary, 2)) == []
+    assert pairs(S.spell_corrections(words, vocabulary.limit(0), 2)) == []
+
+
 def test_correct_spelling_in_texts(spark, texts):
     vocabulary = spark.createDataFrame([("bitter", 30), ("creamy", 25)], "word string, freq long")
     df = texts("Bitterr bittre creamy cream creamyy! biter", None, "")
