@@ -492,6 +492,11 @@ ORACLE: dict[str, str] = {
     "score_batches": over_reviews(
         f"""SELECT review_id, {keyword_rule("coalesce(text, '')")} AS pred_label FROM reviews"""
     ),
+    "scored_from_store": over_reviews(
+        f"""SELECT review_id, {keyword_rule("coalesce(text, '')")} AS pred_label,
+                   coalesce(text, '') IN (SELECT coalesce(text, '') FROM reviews WHERE rating_overall >= 4.0) AS scored_before
+            FROM reviews"""
+    ),
     "classification_report": f"""WITH {PREDICTED}{scores('pred_a', 's')}
         SELECT label, round("precision", 6) AS "precision", round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM s
         UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM s

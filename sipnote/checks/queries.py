@@ -19,7 +19,8 @@ from sipnote.operators import evaluation as E
 from sipnote.operators import features as X
 from sipnote.operators import phrases, profile, ranking, spelling, suffix_rules, translation
 from sipnote.operators.lemmatize import lemmatize_with_table
-from sipnote.operators.scoring import score_batches
+from sipnote.operators.lookup import lookup
+from sipnote.operators.scoring import score_batches, score_with_store, stored_scores
 from sipnote.plans import modeling
 from sipnote.plans.error_analysis import analyse_errors
 from sipnote.plans.process import clean_reviews, process_reviews
@@ -449,6 +450,18 @@ def score_batches_table(spark, sf):
     return score_batches(rows, "text", "pred_label", _keyword_scorer_loader()).select("review_id", "pred_label")
 
 
+@query
+def scored_from_store(spark, sf):
+    """All reviews scored by a store that a run over the praised ones has begun."""
+    rows, store = reviews(spark, sf), new_path(spark, "scores")
+    run = lambda df: score_with_store(df, "review_id", "text", "pred_label", _keyword_scorer_loader(), store, "keywords")
+    run(rows.where(F.col("rating_overall") >= 4.0))
+    before = written(stored_scores(spark, store, "keywords"), "scores-before").select("digest", F.lit(True).alias("before"))
+    labelled = run(rows).withColumn("digest", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    found = lookup(labelled, before, "digest", ["review_id"])
+    return found.select("review_id", "pred_label", F.coalesce("before", F.lit(False)).alias("scored_before"))
+
+
 # Evaluation
 
 
