@@ -320,6 +320,8 @@ ORACLE: dict[str, str] = {
             FROM reviews ORDER BY review_id LIMIT 3"""
     ),
     "strip_html": f"SELECT page_id, {strip_html('html')} AS text FROM pages",
+    # Whatever is never closed is dropped: the texts are those of the pages without it.
+    "strip_unclosed": f"SELECT page_id, {strip_html('html')} AS text FROM pages",
     "expand_contractions": text_query(expand_contractions("text")),
     "strip_emails_urls": text_query(strip_emails_urls("text")),
     "squeeze_repeats": over_reviews(

@@ -86,6 +86,20 @@ def strip_html(spark, sf):
     return pages.select("page_id", T.strip_html(F.col("html")).alias("text"))
 
 
+@query
+def strip_unclosed(spark, sf):
+    """Pages with an element behind them that is never closed; nothing of it may be left."""
+    pages = spread(table(spark, sf, "pages"))
+    kind = F.col("page_id") % 4
+    unclosed = (
+        F.when(kind == 0, "<script async>if (a < b) { write('<p>x</p> <!-- y -->') }")
+        .when(kind == 1, "<STYLE media='print'>p > a { color: red } <script>z()</script>")
+        .when(kind == 2, "<!-- <b>note</b> <script>w()</script> to be closed --")
+        .otherwise("")
+    )
+    return pages.select("page_id", T.strip_html(F.concat("html", unclosed)).alias("text"))
+
+
 QUERIES["expand_contractions"] = _text_query(T.expand_contractions)
 QUERIES["strip_emails_urls"] = _text_query(T.strip_emails_urls)
 QUERIES["squeeze_repeats"] = _text_query(T.squeeze_repeats)

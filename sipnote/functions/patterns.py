@@ -37,8 +37,9 @@ REPEATED_CHAR = r"(?d)(.)\1\1+"
 JAPANESE = r"[\x{3000}-\x{ffef}](?<=[\x{3000}-\x{303f}\x{3040}-\x{309f}\x{30a0}-\x{30ff}\x{ff00}-\x{ffef}\x{4e00}-\x{9faf}])"
 # The inside of a tag: quoted values may hold ">".
 _INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+# Script, style and comments that are never closed end with the text.
 HTML_MARKUP = (
-    r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<!--.*?-->"
+    r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
     rf"|</?[a-z]{_INSIDE}>|</?[a-z][^>]*>|<[!?][^>]*>"
 )
 NAMED_ENTITY = r"^&([A-Za-z][A-Za-z0-9]*);"

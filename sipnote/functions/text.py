@@ -88,7 +88,11 @@ def decode_entities(text: Column) -> Column:
 
 
 def strip_markup(text: Column) -> Column:
-    """Remove script and style with their content, comments and tags."""
+    """Remove script and style with their content, comments and tags.
+
+    One pass from left to right: what stands in a script is no comment, and the other way round. One
+    that is never closed ends with the text.
+    """
     return F.when(text.contains("<"), F.regexp_replace(text, P.HTML_MARKUP, "")).otherwise(text)
 
 

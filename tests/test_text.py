@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -16,6 +17,35 @@ def clean(texts, options, *values):
     return [r.cleaned_text for r in sorted(rows, key=lambda r: r.review_id)]
 
 
+def markup_by_states(text):
+    """Plain restatement: one state at a time, found by plain searches."""
+    out, at = [], 0
+    while at < len(text):
+        rest = text[at:].lower()
+        for start, end in (("<script>", "</script>"), ("<style>", "</style>"), ("<!--", "-->")):
+            if rest.startswith(start):
+                close = rest.find(end, len(start))
+                at = len(text) if close < 0 else at + close + len(end)
+                break
+        else:
+            if rest.startswith(("<b>", "</b>", "</script>", "</style>")):
+                at += rest.index(">") + 1
+            else:
+                out.append(text[at])
+                at += 1
+    return "".join(out)
+
+
+def test_unclosed_elements_end_with_the_text(apply):
+    rnd = random.Random(13)
+    pieces = ["<script>", "</script>", "<STYLE>", "</style>", "<!--", "-->", "<b>", "</b>", "x", " y\n", "&"]
+    values = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 9))) for _ in range(400)]
+    assert apply(T.strip_markup, *values) == [markup_by_states(v) for v in values]
+    assert apply(T.strip_html, "a<script src='q'>b", "c<!-- d <p>e</p>", "f<style", None, "") == ["a", "c", "f<style", None, ""]
+    # Many that are never closed are one; the time does not grow with their square.
+    assert apply(T.strip_markup, "g" + "<script>h" * 200_000, "i" + "<!-- j " * 200_000) == ["g", "i"]
+
+
 def test_strip_html(apply):
     assert apply(
         T.strip_html,
