@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sipnote.functions.text import tokens
+from sipnote.functions.text import split_words, tokens
 from sipnote.operators.lookup import BROADCAST_BYTES
 from sipnote.operators.words import replace_words
 from sipnote.session import written
@@ -168,8 +168,8 @@ def correct_spelling(
 
     The corrections are written to the shared folder, as the look-up reads them more than once.
     """
-    # Words are looked up as they stand between blanks, so list those and not their cores.
-    words = df.select(F.explode(F.split(F.coalesce(F.col(source), F.lit("")), " ")).alias("word"))
+    # Words are looked up as they stand between white space, so list those and not their cores.
+    words = df.select(F.explode(split_words(F.coalesce(F.col(source), F.lit("")))).alias("word"))
     words = words.where(F.col("word").rlike(CORRECTABLE)).distinct()
     corrections = written(spell_corrections(words, vocabulary, edits), "corrections")
     table = corrections.select(F.col("word").alias("form"), F.col("correction").alias("replacement"))
