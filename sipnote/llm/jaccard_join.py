@@ -15,7 +15,8 @@ sets from below and so drops no link; what passes is intersected. A scan of a lo
 two pairs for each of its sets, to a middle and to the likeliest other. Components of what is thereby
 linked are contracted, and the lists scanned once more for sets of different components. Entries that may
 still be linked then are settled in the task, by their shingles. So what leaves a list grows with its
-entries, not with their pairs. Lists longer than a block are dealt to tasks by pairs of blocks.
+entries, not with their pairs. Lists longer than a block are scanned block by block at first. In the second
+scan, blocks of the component that most sets of a list belong to meet only the blocks of other sets.
 
 The size from which sets are heavy is where listing subsets starts to cost more than scanning.
 """
@@ -237,32 +238,15 @@ class Lister:
     heavy: int
     classes: np.ndarray
 
-    def first(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The shingles by which a set has to be found, rare ones first, and their classes."""
+    def first(self, shingles: np.ndarray) -> np.ndarray:
+        """The shingles by which a set has to be found, rare ones first."""
         n = len(shingles)
         take = min(n, n - smallest_partner(n, self.percent) + SHARED)
         rank = self.classes[(shingles % np.uint64(COUNTERS)).astype(np.int64)]
         rare = np.flatnonzero(rank == 0)
         if len(rare) >= take:
-            rare = rare[:take]
-            return shingles[rare], rank[rare]
-        order = np.lexsort((shingles, rank))[:take]
-        return shingles[order], rank[order]
-
-    def entries(self, key: int, shingles: np.ndarray) -> tuple[np.ndarray, int]:
-        """Keys of the inverted lists that hold the set; a long list has one for each pair of blocks."""
-        found, rank = self.first(shingles)
-        if not (most := int(rank.max(initial=0))) or (1 << most) <= BLOCK:
-            return found, len(found)
-        out = [found[(1 << rank.astype(np.int64)) <= BLOCK]]
-        for c in range(BLOCK.bit_length(), most + 1):
-            blocks = -(-(1 << c) // BLOCK)
-            own = (key % (1 << 30)) % blocks
-            pairs = np.array([min(own, j) * blocks + max(own, j) for j in range(blocks)], np.uint64)
-            same = found[rank == c]
-            out += [mixed(same ^ mixed(p + np.uint64(1))) for p in pairs]
-        out = np.concatenate(out)
-        return out, len(out)
+            return shingles[rare[:take]]
+        return shingles[np.lexsort((shingles, rank))[:take]]
 
     def subsets(self, shingles: np.ndarray) -> Iterator[tuple[int, int]]:
         """(size, hash) of the subsets by which a light set is found; by what is left out."""
@@ -288,9 +272,8 @@ class Lister:
                         owners.append((key, n, 1))
                         shared.append(c)
                 if n >= self.heavy or 100 * n >= self.percent * self.heavy:
-                    found, k = self.entries(key, s)
-                    keys.append(found)
-                    owners.append((key, n, k))
+                    keys.append(self.first(s))
+                    owners.append((key, n, len(keys[-1])))
                     shared.append(0)
             if len(seen) > 1_000_000:  # a set listed twice is told apart later
                 seen.clear()
@@ -546,18 +529,67 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(100 * shared >= percent * union).select("a", "b")
 
 
-def _described(lists: DataFrame, sets: DataFrame, labels: DataFrame | None, *more: str) -> DataFrame:
-    """Entries (key, set_id, n) of long lists, with what a scan compares, in runs of a list."""
+def _described(by_set: DataFrame, sets: DataFrame, labels: DataFrame | None, *more: str) -> DataFrame:
+    """Entries (key, set_id, n) of long lists, with what a scan compares.
+
+    ``by_set`` has a row for each set with the keys of its lists, and so has each join.
+    """
+    about = sets.select("set_id", "small", "large", *more).join(by_set, "set_id")
     # The set that stands in most lists is the likeliest middle of its like.
-    degree = lists.groupBy("set_id").agg(F.count(F.lit(1)).alias("degree"))
-    about = sets.select("set_id", "small", "large", *more).join(degree, "set_id")
-    if labels is not None:
-        about = about.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-    else:
-        about = about.withColumn("label", F.col("set_id"))
-    rows = lists.select("key", "set_id", "n").join(about, "set_id")
-    rows = rows.select("key", "set_id", F.col("n").cast("long"), "degree", "label", "small", "large", *more)
-    return rows.repartition(F.col("key")).sortWithinPartitions("key", "set_id")
+    size, degree = F.col("n").cast("long").alias("n"), F.size("keys").cast("long").alias("degree")
+    about = _labelled(about, labels)
+    return about.select(F.explode("keys").alias("key"), "set_id", size, degree, "label", "small", "large", *more)
+
+
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return rows.withColumn("label", F.col("set_id"))
+    return rows.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+
+
+def _in_runs(entries: DataFrame) -> DataFrame:
+    return entries.repartition(F.col("key")).sortWithinPartitions("key", "set_id")
+
+
+def _own_blocks(entries: DataFrame, long: DataFrame) -> DataFrame:
+    """Entries of the lists ``long`` (key, blocks) under a key for one block of their list."""
+    block = F.pmod(F.xxhash64("set_id"), F.col("blocks"))
+    rows = entries.join(maybe_broadcast(long, 16), "key", "left")
+    key = F.when(F.col("blocks").isNull(), F.col("key")).otherwise(F.xxhash64("key", block))
+    return rows.withColumn("key", key).drop("blocks")
+
+
+def open_lists(by_set: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, common, commons, others), written, of the lists whose sets are not all joined: the label most sets
+    have, and the blocks of the sets with it and of all others."""
+    entries = _labelled(by_set, labels).select(F.explode("keys").alias("key"), "label")
+    found = entries.groupBy("key", "label").agg(F.count(F.lit(1)).alias("sets"))
+    lists = found.groupBy("key").agg(
+        F.max_by("label", "sets").alias("common"), F.max("sets").alias("most"), F.sum("sets").alias("all")
+    )
+    blocks = lambda n: F.ceil(n / BLOCK).cast("long")
+    commons, others = blocks(F.col("most")).alias("commons"), blocks(F.col("all") - F.col("most")).alias("others")
+    return written(lists.where(F.col("most") < F.col("all")).select("key", "common", commons, others), "open-lists")
+
+
+def _met_blocks(entries: DataFrame, lists: DataFrame) -> DataFrame:
+    """Entries of the ``lists`` that :func:`open_lists` gives, under keys for pairs of blocks.
+
+    Sets with the common label are joined already, so their blocks meet those of the others and not one
+    another: a list of one family, with few sets beside, gives as many entries as it has.
+    """
+    rows = entries.join(maybe_broadcast(lists, 40), "key")
+    is_common = F.col("label") == F.col("common")
+    own = F.pmod(F.xxhash64("set_id"), F.when(is_common, F.col("commons")).otherwise(F.col("others")))
+    upto = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+    pair = lambda kind, a, b: F.xxhash64("key", F.lit(kind), a, b)
+    beside = F.transform(F.filter(upto("others"), lambda k: k != own), lambda k: pair(1, F.least(own, k), F.greatest(own, k)))
+    keys = (
+        F.when((F.col("commons") == 1) & (F.col("others") == 1), F.array("key"))
+        .when(is_common, F.transform(upto("others"), lambda k: pair(0, own, k)))
+        .otherwise(F.concat(F.transform(upto("commons"), lambda k: pair(0, k, own)), beside))
+    )
+    return rows.select(F.explode(keys).alias("key"), *[c for c in entries.columns if c != "key"])
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -569,28 +601,39 @@ def _labels(links: DataFrame) -> DataFrame:
 def scanned_links(met: DataFrame, lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b), written, that join all sets joined by pairs ``met`` or by the long ``lists``.
 
-    Two scans link most sets through few pairs. What may still be linked, and is not joined, is in a pair
-    of the second scan, list by list; those entries alone get their shingles, and are settled in the task.
+    Two scans link most sets through few pairs: the first within blocks of a list, the second between all
+    sets that are not joined by then. What may still be linked, and is not joined, is in a pair of the second
+    scan, list by list; those entries alone get their shingles, and are settled in the task.
     """
     scan = Scan(percent)
-    first = written(_described(lists, sets, None).mapInArrow(scan.run, "key long, a long, b long"), "scanned")
+    pairs_of = lambda entries: written(_in_runs(entries).mapInArrow(scan.run, "key long, a long, b long"), "scanned")
+    by_set = lists.groupBy("set_id").agg(F.first("n").alias("n"), F.collect_list("key").alias("keys"))
+    by_set = written(by_set, "long-entries")
+    sizes = lists.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
+    long = written(sizes.where("blocks > 1"), "long-lists")
+    in_one = long.isEmpty()
+    entries = _described(by_set, sets, None)
+    first = pairs_of(entries if in_one else _own_blocks(entries, long))
     links = written(_verified(met.unionByName(first.select("a", "b")), sets, percent), "scan-links")
-    if first.isEmpty():
+    if in_one and first.isEmpty():
         return links
-    again = _described(lists, sets, _labels(links)).mapInArrow(scan.run, "key long, a long, b long")
-    again = written(again, "scanned")
+    labels = _labels(links)
+    again = pairs_of(_met_blocks(_described(by_set, sets, labels), open_lists(by_set, labels)))
     if again.isEmpty():
         return links
     links = written(links.unionByName(_verified(again.select("a", "b"), sets, percent)), "scan-links")
     labels = _labels(links)
-    pairs = again.select("key", F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    named = pairs.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    pairs = again.select("key", F.explode(F.array("a", "b")).alias("set_id"))
+    pairs = written(pairs.groupBy("set_id").agg(F.collect_set("key").alias("keys")), "open-entries")
+    named = _labelled(pairs, labels).select("set_id", F.explode("keys").alias("key"), "label")
     # Lists whose sets are all joined by now are done.
     open_ = named.groupBy("key").agg((F.min("label") < F.max("label")).alias("open")).where("open").select("key")
-    entries = written(lists.join(pairs.join(open_, "key", "left_semi"), ["key", "set_id"], "left_semi"), "open-entries")
-    if entries.isEmpty():
+    open_ = written(open_, "open-keys")
+    if open_.isEmpty():
         return links
-    rest = _described(entries, sets, labels, "shingles").mapInArrow(Settle(percent).run, "a long, b long")
+    own = named.join(maybe_broadcast(open_, 8), "key", "left_semi").groupBy("set_id").agg(F.collect_list("key").alias("keys"))
+    own = own.join(by_set.select("set_id", "n"), "set_id")
+    rest = _in_runs(_described(own, sets, labels, "shingles")).mapInArrow(Settle(percent).run, "a long, b long")
     return written(links.unionByName(rest.distinct()), "scan-links")
 
 

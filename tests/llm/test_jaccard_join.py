@@ -177,7 +177,7 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
-def family(kind, size, words, rng):
+def shingle_family(kind, size, words, rng):
     """Shingle sets of near copies: of one text, or each of the one before."""
     base = [f"w{i}" for i in range(words)]
     texts = []
@@ -196,7 +196,7 @@ def family(kind, size, words, rng):
 def test_rows_of_a_list_grow_with_its_sets(kind, words):
     """Scans of one list with a whole family: at most two rows a set, and in the end every component."""
     for size in (250, 500, 1000):
-        sets = family(kind, size, words, random.Random(size + words))
+        sets = shingle_family(kind, size, words, random.Random(size + words))
         n = [len(s) for s in sets]
         maps = [J.bitmaps(s) for s in sets]
         label = list(range(size))
@@ -228,3 +228,28 @@ def test_rows_of_a_list_grow_with_its_sets(kind, words):
         if size < 1000:
             wanted = component_ids({i: frozenset(s.tolist()) for i, s in enumerate(sets)}, 90)
             assert dict(enumerate(label)) == wanted
+
+
+def test_entries_of_long_lists_grow_with_their_sets(spark, monkeypatch):
+    """A family in one list, joined but for a few sets: its blocks are not dealt to pairs, and no pair is missed."""
+    monkeypatch.setattr(J, "BLOCK", 16)
+    lister = J.Lister(3, 90, 1, np.full(J.COUNTERS, 9, np.uint8))
+    (own,) = J.shingle_sets([" ".join(f"w{i}" for i in range(102))])
+    (batch,) = lister.run(iter([pa.RecordBatch.from_pydict({"doc_id": [1], "text": [" ".join(f"w{i}" for i in range(102))]})]))
+    assert len(batch) == len(own) - J.smallest_partner(len(own), 90) + J.SHARED
+
+    for joined, most in ((640, 640 + 7 * 40), (0, None)):
+        label = {i: 0 if i < joined else i for i in range(647)}
+        by_set = spark.createDataFrame([([7, 8], i) for i in label], "keys array<long>, set_id long")
+        labels = spark.createDataFrame([(i, 0) for i in range(joined)], "set_id long, label long")
+        entries = J._labelled(by_set, labels).select(J.F.explode("keys").alias("key"), "set_id", "label")
+        dealt = J._met_blocks(entries, J.open_lists(by_set, labels)).collect()
+        met, lists = set(), {}
+        for r in dealt:
+            lists.setdefault(r.key, []).append(r.set_id)
+        for sets in lists.values():
+            met |= {(a, b) for a in sets for b in sets if label[a] < label[b]}
+        assert met == {(a, b) for a in label for b in label if label[a] < label[b]}
+        assert most is None or len(dealt) <= 2 * most
+    closed = spark.createDataFrame([(i, 0) for i in label], "set_id long, label long")
+    assert J.open_lists(by_set, closed).isEmpty()
