@@ -9,6 +9,7 @@ from sipnote.operators import spelling as S
 from sipnote.operators import translation as X
 from sipnote.operators.lemmatize import lemmatize_with_table
 from sipnote.operators.lookup import lookup, table_bytes
+from sipnote.operators.words import replace_words
 from tests.conftest import plan_of
 
 
@@ -173,3 +174,15 @@ def test_correct_spelling_in_texts(spark, texts):
 def test_word_frequencies(texts):
     df = texts(*["Fine beer, FINE!"] * 3, "ale beer")
     assert pairs(S.word_frequencies(df, "text", 3)) == [("beer", 4), ("fine", 6)]
+
+
+def test_words_are_listed_once_and_replaced_without_a_search_through_a_map(spark, texts):
+    """explode had filtered by the size of the array, computed a second time; a map was searched for each word."""
+    df = texts("Malty, malty maltt (hoppy)", "maltt ünter malty’s", "", None)
+    listed = S.distinct_words(df, "text")
+    assert "size(" not in plan_of(listed)
+    assert sorted(r.word for r in listed.collect()) == ["hoppy", "maltt", "malty"]
+    table = spark.createDataFrame([("maltt", "malty")], "form string, replacement string")
+    got = replace_words(df, table, "review_id", "text", "out")
+    assert "element_at" not in plan_of(got)
+    assert [r.out for r in got.orderBy("review_id").collect()] == ["Malty, malty malty (hoppy)", "malty ünter malty’s", "", ""]
