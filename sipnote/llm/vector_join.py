@@ -12,6 +12,10 @@ many tiles. Tiles carry the box that holds their rows. Tiles whose boxes are wit
 other meet by an equi-join on stretches of their first component; each such pair is one row, compared in
 memory. A pair of vectors counts in the first block whose share it keeps, so none counts twice.
 
+Disk is bounded by the input, though comparisons are not: blocks are laid out as tiles some at a time, tiles
+meet by cells of several tiles on both sides, and cells are shuffled in rounds. Tiles of a block and the
+shuffle of a round are deleted once what was found is written.
+
 What leaves a comparison grows with the tiles, not with the pairs found: for each vector the number of
 its links, and for each vector one link to its like. Vectors equal in all components are one class first.
 """
@@ -23,12 +27,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sipnote.llm.common import maybe_broadcast, settings
 from sipnote.llm.graph import components
-from sipnote.session import written
+from sipnote.session import new_path, remove, written
 
 LEAST = 0.9
 BLOCK = 16
@@ -36,8 +40,14 @@ SEED = 12
 # Vectors a tree of medians is fitted to, at most; a leaf has at least so many of them.
 SAMPLE, SAMPLE_LEAF = 20_000, 16
 TILE_BYTES = 4 * 1024 * 1024
-# Tasks that share the pairs of tiles, at most.
+# Tiles that are on disk at once, and copies of them in a round: so many bytes, or a block and so many times a block.
+HELD_BYTES, ROUND_BLOCKS = 64 * 1024 * 1024, 4
+# Tiles on either side of a cell, if there are enough cells, and cells for each core.
+CELL_TILES, CELLS_PER_CORE = 4, 4
+# Tasks that share the cells of a round, at most.
 TASKS = 20_000
+# Shuffle files go once the query that wrote them ends.
+NO_SHUFFLE_LEFT = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 # Pairs of vectors compared at once.
 STRIP = 1 << 20
 GATHERED = 1 << 15
@@ -124,20 +134,26 @@ def vector_classes(rows: DataFrame) -> DataFrame:
 TILE = "block int, leaf int, chunk int, members long, low array<double>, high array<double>, ids binary, weights binary, vectors binary"
 
 
-def tiles(classes: DataFrame, d: int, count: int, seed: int, rows_per_tile: int) -> DataFrame:
-    """Packed rows of every leaf of every block (``TILE``), with the box they lie in, written."""
+def block_trees(classes: DataFrame, d: int, count: int, seed: int, rows_per_tile: int) -> list[Tree]:
+    """A tree for every block, fitted to a sample of bounded size."""
+    cuts = block_cuts(d)
+    if count <= rows_per_tile:
+        return [Tree(0, {})] * len(cuts)
+    sample = classes.select("embedding").orderBy(F.xxhash64("class")).limit(max(SAMPLE_LEAF, SAMPLE * 64 // max(d, 64))).toArrow()
+    points = unit(_matrix(sample.column(0).combine_chunks(), d)) @ rotation(d, seed)
+    return [Tree.fit(points[:, a:b], -(-count // rows_per_tile)) for a, b in cuts]
+
+
+def tiles(classes: DataFrame, d: int, trees: list[Tree], blocks: range, seed: int, rows_per_tile: int, path: str) -> DataFrame:
+    """Packed rows of every leaf of some blocks (``TILE``), with the box they lie in, written to ``path``."""
     spark, turn, cuts = classes.sparkSession, rotation(d, seed), block_cuts(d)
-    trees = [Tree(0, {})] * len(cuts)
-    if count > rows_per_tile:
-        sample = classes.select("embedding").orderBy(F.xxhash64("class")).limit(max(SAMPLE_LEAF, SAMPLE * 64 // max(d, 64))).toArrow()
-        points = unit(_matrix(sample.column(0).combine_chunks(), d)) @ turn
-        trees = [Tree.fit(points[:, a:b], -(-count // rows_per_tile)) for a, b in cuts]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            turned = unit(_matrix(batch.column(2), d)) @ turn
-            for i, (a, b) in enumerate(cuts):
-                columns = [pa.array(np.full(len(turned), i, np.int32)), pa.array(trees[i].leaf(turned[:, a:b]).astype(np.int32))]
+            vectors = unit(_matrix(batch.column(2), d))
+            for i in blocks:
+                leaf = trees[i].leaf(vectors @ turn[:, slice(*cuts[i])])
+                columns = [pa.array(np.full(len(leaf), i, np.int32)), pa.array(leaf.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays([*columns, *batch.columns], ["block", "leaf", "class", "n", "embedding"])
 
     kind = classes.schema["embedding"].dataType.simpleString()
@@ -182,18 +198,24 @@ def tiles(classes: DataFrame, d: int, count: int, seed: int, rows_per_tile: int)
         "spark.sql.execution.arrow.maxBytesPerBatch": str(TILE_BYTES),
     }
     with settings(spark, limits):
-        packed = written(ordered.mapInArrow(pack, TILE), "vector-tiles")
-    return packed.withColumn("tile", F.struct("block", "leaf", "chunk"))
+        ordered.mapInArrow(pack, TILE).write.parquet(path)
+    return spark.read.schema(TILE).parquet(path).withColumn("tile", F.struct("block", "leaf", "chunk"))
+
+
+def tile_place() -> Column:
+    """Number of a tile in the order of its block's leaves. Tiles are few: a row for ``TILE_BYTES`` of vectors."""
+    return F.row_number().over(Window.partitionBy("block").orderBy("leaf", "chunk")) - 1
 
 
 def near_tiles(packed: DataFrame, d: int, least: float) -> DataFrame:
-    """(pair, first, second): tiles of a block whose boxes are within its share of each other, written.
+    """(block, first, second): tiles of a block whose boxes are within its share of each other, written.
 
-    Boxes meet on stretches of their first component; the first stretch that both reach gives the pair.
+    Boxes meet on stretches of their first component; the first stretch that both reach gives the pair. Tiles are
+    given by their place in the order of a block's leaves, the first before the second or the same.
     """
     share = F.element_at(F.array(*[F.lit(float(s) + COARSE) for s in shares(d, least)]), F.col("block") + 1)
     width = F.sqrt(share)
-    boxes = packed.select("block", "tile", "low", "high", share.alias("share"), width.alias("width"))
+    boxes = packed.select("block", tile_place().alias("tile"), "low", "high", share.alias("share"), width.alias("width"))
     from_, to = F.floor(F.col("low")[0] / width), F.floor(F.col("high")[0] / width)
     one = boxes.withColumn("stretch", F.explode(F.sequence(from_, to)))
     other = boxes.select("block", F.col("tile").alias("tile2"), F.col("low").alias("low2"), F.col("high").alias("high2"), "width")
@@ -207,8 +229,21 @@ def near_tiles(packed: DataFrame, d: int, least: float) -> DataFrame:
     apart = F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g * g)
     first_stretch = F.greatest(F.floor(F.col("low")[0] / F.col("width")), F.floor((F.col("low2")[0] - F.col("width")) / F.col("width")))
     met = one.join(other, ["block", "stretch"]).where((F.col("tile") <= F.col("tile2")) & (F.col("stretch") == first_stretch) & (apart <= F.col("share")))
-    pairs = met.select(F.monotonically_increasing_id().alias("pair"), F.col("tile").alias("first"), F.col("tile2").alias("second"))
-    return written(pairs, "near-tiles")
+    return written(met.select("block", F.col("tile").alias("first"), F.col("tile2").alias("second")), "near-tiles")
+
+
+def cells(pairs: DataFrame, side: int) -> DataFrame:
+    """(block, row, column, tile, later, firsts): the tiles of every cell, and those of it that each is compared with.
+
+    A cell holds the pairs of up to ``side`` neighbouring tiles with ``side`` others, or with each other.
+    Tiles of ``column`` come ``later``, each to be compared with those of ``row`` as named.
+    """
+    row, column = (F.floor(F.col(c) / F.lit(side)).cast("int").alias(name) for c, name in (("first", "row"), ("second", "column")))
+    own = pairs.select("block", row, column, "first", "second")
+    later = own.select("block", "row", "column", F.col("second").alias("tile"), F.col("first"))
+    held = own.select("block", "row", "column", F.col("first").alias("tile"), F.lit(None).cast("int").alias("first"))
+    both = later.withColumn("later", F.col("row") != F.col("column")).unionByName(held.withColumn("later", F.lit(False)))
+    return both.groupBy("block", "row", "column", "tile", "later").agg(F.collect_list("first").alias("firsts"))
 
 
 class Forest:
@@ -329,44 +364,65 @@ class Comparison:
 FOUND = "class long, links long, root long"
 
 
-def compared(packed: DataFrame, pairs: DataFrame, d: int, least: float, seed: int) -> DataFrame:
-    """``FOUND`` rows of all pairs of near tiles, written. A task holds two tiles at a time."""
-    sides = pairs.select(
-        "pair",
-        (F.col("first") == F.col("second")).alias("same"),
-        F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("first").alias("tile")), F.struct(F.lit(1).alias("side"), F.col("second").alias("tile")))).alias("of"),
-    ).where("NOT same OR of.side = 0")
-    sides = sides.select(F.col("of.tile").alias("tile"), "pair", F.col("of.side").alias("side"), "same")
-    rows = packed.join(maybe_broadcast(sides, 64), "tile").select("pair", "side", "same", "block", "ids", "weights", "vectors", "kind")
-    tasks = max(1, min(pairs.count(), TASKS))
-    ordered = rows.repartition(tasks, "pair").sortWithinPartitions("pair", "side")
+def compared(packed: DataFrame, pairs: DataFrame, d: int, least: float, seed: int, block_bytes: int, tile_bytes: int, into: str) -> None:
+    """Write the ``FOUND`` rows of all pairs of near tiles to ``into``. A task holds one side of a cell at a time.
+
+    A round shuffles ``HELD_BYTES`` or ``ROUND_BLOCKS`` times a block's bytes.
+    """
+    cores = packed.sparkSession.sparkContext.defaultParallelism
+    count, side = pairs.count(), CELL_TILES
+    while side > 1 and count < side * side * cores * CELLS_PER_CORE:
+        side //= 2
+    entries = written(cells(pairs, side), "near-cells")
+    rounds = -(-entries.count() * tile_bytes // max(HELD_BYTES, ROUND_BLOCKS * block_bytes))
+    places = packed.select("block", tile_place().alias("number"), "tile")
+    named = entries.withColumnRenamed("tile", "number").join(places, ["block", "number"])
+    named = written(named.select("tile", F.struct("block", "row", "column").alias("cell"), "number", "later", "firsts"), "cell-tiles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = rotation(d, seed)
-        comparison, one = Comparison(d, least, turn), None
+        comparison, at, held = Comparison(d, least, turn), None, {}
         for batch in batches:
-            for _, side, same, block, ids, weights, vectors, kind in zip(*(c.to_pylist() for c in batch.columns)):
-                two = Side.read(ids, weights, vectors, d, kind, turn)
-                one = one if side else two
-                if side or same:
-                    columns = [pa.array(c, pa.int64()) for c in comparison.found(block, one, two, same)]
+            for cell, number, later, firsts, block, *packed_rows, kind in zip(*(c.to_pylist() for c in batch.columns)):
+                if cell != at:
+                    at, held = cell, {}
+                two = Side.read(*packed_rows, d, kind, turn)
+                if not later:
+                    held[number] = packed_rows
+                for first in firsts:
+                    one = two if first == number else Side.read(*held[first], d, kind, turn)
+                    columns = [pa.array(c, pa.int64()) for c in comparison.found(block, one, two, first == number)]
                     yield pa.RecordBatch.from_arrays(columns, ["class", "links", "root"])
 
     limits = {"spark.sql.execution.arrow.maxBytesPerBatch": str(TILE_BYTES)}
     with settings(packed.sparkSession, limits):
-        return written(ordered.mapInArrow(run, FOUND), "vector-links")
+        for i in range(rounds):
+            own = named.where(F.pmod(F.xxhash64("cell"), F.lit(rounds)) == i)
+            tasks = max(1, min(own.select("cell").distinct().count(), TASKS))
+            rows = packed.join(maybe_broadcast(own, 96), "tile").select("cell", "number", "later", "firsts", "block", "ids", "weights", "vectors", "kind")
+            ordered = rows.repartition(tasks, "cell").sortWithinPartitions("cell", "later", "number")
+            ordered.mapInArrow(run, FOUND).write.mode("append").parquet(into)
 
 
 def linked_classes(classes: DataFrame, least: float, seed: int, tile_bytes: int) -> DataFrame:
     """``FOUND`` rows of all classes; vectors of unlike size are not compared."""
+    spark = classes.sparkSession
     double = classes.schema["embedding"].dataType.elementType.typeName() == "double"
-    out = classes.sparkSession.createDataFrame([], FOUND)
+    into = new_path(spark, "vector-links")
+    spark.createDataFrame([], FOUND).write.parquet(into)
     for d, count in classes.groupBy("d").count().orderBy("d").collect():  # a row for each size in use
-        own = classes.where(F.col("d") == d)
-        packed = tiles(own, d, count, seed, max(64, tile_bytes // ((8 if double else 4) * d)))
-        packed = packed.withColumn("kind", F.lit("f8" if double else "f4"))
-        out = out.unionByName(compared(packed, near_tiles(packed, d, least), d, least, seed))
-    return out
+        own, row_bytes = classes.where(F.col("d") == d), (8 if double else 4) * d
+        rows_per_tile = max(64, tile_bytes // row_bytes)
+        trees = block_trees(own, d, count, seed, rows_per_tile)
+        at_once = max(1, HELD_BYTES // (count * row_bytes))
+        for first in range(0, len(trees), at_once):
+            blocks, path = range(first, min(first + at_once, len(trees))), new_path(spark, "vector-tiles")
+            packed = tiles(own, d, trees, blocks, seed, rows_per_tile, path)
+            packed = packed.withColumn("kind", F.lit("f8" if double else "f4"))
+            size = -(-count * row_bytes * len(blocks) // max(1, packed.count()))
+            compared(packed, near_tiles(packed, d, least), d, least, seed, count * row_bytes, size, into)
+            remove(spark, path)
+    return spark.read.schema(FOUND).parquet(into)
 
 
 def linked_vectors(
@@ -389,8 +445,22 @@ def linked_vectors(
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("embedding"))
     if rows.schema["embedding"].dataType.elementType.typeName() != "float":
         rows = rows.withColumn("embedding", F.col("embedding").cast("array<double>"))
-    classes = vector_classes(rows)
-    found = linked_classes(classes, least, seed, tile_bytes)
+    with settings(rows.sparkSession, NO_SHUFFLE_LEFT):
+        classes = vector_classes(rows)
+        found = linked_classes(classes, least, seed, tile_bytes)
+        about = _about(classes, found)
+    width = classes.agg(F.coalesce(F.max("d"), F.lit(0))).first()[0] * 8 + 64
+    about = maybe_broadcast(about, width)
+    keyed = rows.withColumn("hash", F.when(F.col("vec_id").isNotNull(), F.xxhash64("embedding")))
+    same = (keyed["hash"] == about["hash"]) & (F.col("embedding") == F.col("_embedding"))
+    own = F.coalesce("component_id", "vec_id")
+    return keyed.join(about, same, "left").select(
+        "vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), own.alias("component_id"), F.col("vec_id").eqNullSafe(own).alias("kept")
+    )
+
+
+def _about(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """(hash, _embedding, n_links, component_id) of the classes with links or several rows, written."""
     counts = found.groupBy("class").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("class").alias("u"), F.col("root").alias("v")))
     groups = written(groups.select(F.col("node").alias("class"), F.col("component").alias("group")), "vector-components")
@@ -403,11 +473,4 @@ def linked_vectors(
         (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
         "component_id",
     )
-    width = classes.agg(F.coalesce(F.max("d"), F.lit(0))).first()[0] * 8 + 64
-    about = maybe_broadcast(written(about, "vector-about"), width)
-    keyed = rows.withColumn("hash", F.when(F.col("vec_id").isNotNull(), F.xxhash64("embedding")))
-    same = (keyed["hash"] == about["hash"]) & (F.col("embedding") == F.col("_embedding"))
-    own = F.coalesce("component_id", "vec_id")
-    return keyed.join(about, same, "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), own.alias("component_id"), F.col("vec_id").eqNullSafe(own).alias("kept")
-    )
+    return written(about, "vector-about")

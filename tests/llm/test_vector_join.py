@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 
@@ -132,3 +134,36 @@ def test_pairs_are_found_once_over_blocks():
             pairs += zip(p.tolist(), q.tolist())
     cosine = J.unit(x) @ J.unit(x).T
     assert sorted(pairs) == sorted(zip(*(k.tolist() for k in np.nonzero(np.triu(cosine >= 0.9, 1)))))
+
+
+def test_disk_is_bounded_while_tiles_meet(spark, monkeypatch, tmp_path):
+    """Tiles are laid out a few blocks at a time and shuffled in rounds; nothing of either is left."""
+    paths, rounds, shuffled = [], [], []
+    monkeypatch.setattr(J, "HELD_BYTES", 1)
+    monkeypatch.setattr(J, "CELLS_PER_CORE", 0)
+    make, compare = J.new_path, J.compared
+    monkeypatch.setattr(J, "new_path", lambda s, name: paths.append(make(s, name)) or paths[-1])
+
+    def counted(packed, pairs, *args):
+        entries = J.cells(pairs, J.CELL_TILES)
+        shuffled.append((packed.count(), pairs.count(), entries.count()))
+        compare(packed, pairs, *args)
+        rounds.append(len(paths))
+
+    monkeypatch.setattr(J, "compared", counted)
+    check(frame(spark, families(5, [1] * 900 + [30, 2, 7])), tile_bytes=64 * 64 * 4)
+    tile_paths = [p for p in paths if "vector-tiles" in p]
+    assert len(tile_paths) == len(rounds) == 4  # a block at a time
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in tile_paths)
+    # A pair of tiles is no copy of two tiles any more.
+    assert all(tiles > 8 and 2 * entries < pairs for tiles, pairs, entries in shuffled)
+    settings = spark.conf.get(next(iter(J.NO_SHUFFLE_LEFT)), None)
+    assert settings in (None, "false")
+
+
+def test_cells_compare_each_pair_once(spark):
+    pairs = [(0, a, b) for a in range(11) for b in range(a, 11) if (a * b) % 3 != 1] + [(1, 2, 2), (1, 0, 9)]
+    found = J.cells(spark.createDataFrame(pairs, "block int, first int, second int"), 4).collect()
+    assert sorted((r.block, f, r.tile) for r in found for f in r.firsts) == sorted(pairs)
+    there = {(r.block, r.row, r.column, r.tile) for r in found if not r.later}
+    assert all((r.block, r.row, r.column, f) in there for r in found for f in r.firsts)
