@@ -186,3 +186,20 @@ def test_words_are_listed_once_and_replaced_without_a_search_through_a_map(spark
     got = replace_words(df, table, "review_id", "text", "out")
     assert "element_at" not in plan_of(got)
     assert [r.out for r in got.orderBy("review_id").collect()] == ["Malty, malty malty (hoppy)", "malty ünter malty’s", "", ""]
+
+
+def test_keys_of_a_large_vocabulary_are_not_sent_through_the_driver(spark, monkeypatch, tmp_path):
+    """Spark's estimate knows nothing of how many keys a word has, so it broadcast them all."""
+    vocabulary = spark.range(2000).selectExpr("lpad(translate(CAST(id AS STRING), '0123456789', 'abcdefghij'), 9, 'k') AS word", "id AS freq")
+    vocabulary.write.parquet(f"{tmp_path}/vocabulary")
+    vocabulary = spark.read.parquet(f"{tmp_path}/vocabulary")
+    words = vocabulary.selectExpr("concat('x', word) AS word").where("word LIKE '%a'")
+    for edits in (1, 2):
+        small = S.spell_corrections(words, vocabulary, edits)
+        assert "SortMergeJoin" not in plan_of(small)
+        with monkeypatch.context() as m:
+            m.setattr(S, "KEY_BYTES", 1000)
+            large = S.spell_corrections(words, vocabulary, edits)
+            plan = plan_of(large)
+            assert plan.count("SortMergeJoin [deletion_key") == plan.count("Generate explode") // 2 > 0
+            assert sorted(map(tuple, large.collect())) == sorted(map(tuple, small.collect())) != []
